@@ -21,7 +21,7 @@ def hours_between(start_s: Column, end_s: Column) -> Column:
 
 
 def bucket(sec: Column, width_s: int) -> Column:
-    return F.floor(sec / width_s)
+    return F.coalesce(F.floor(sec / width_s), F.lit(0))
 
 
 def buckets(from_s: Column, to_s: Column, width_s: int) -> Column:

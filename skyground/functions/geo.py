@@ -26,6 +26,15 @@ def great_circle_m(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -
     return F.asin(F.sqrt(F.least(hav, F.lit(1.0)))) * (2 * EARTH_RADIUS_M)
 
 
+def sure_key(value: Column) -> Column:
+    """A join key known not to be NULL (rows without one were filtered before).
+
+    Otherwise Spark guards each join with "key is not null" and pushes that down as a filter on the
+    whole cell formula, evaluated once more per row.
+    """
+    return F.coalesce(value, F.lit(0))
+
+
 def located(lat: Column, lon: Column) -> Column:
     """True for usable coordinates; false for NULL, NaN and infinities."""
     return F.coalesce(lat.between(-360.0, 360.0) & lon.between(-360.0, 360.0), F.lit(False))
@@ -45,23 +54,24 @@ def in_any_box(lat: Column, lon: Column, boxes) -> Column:
 class CircleGrid:
     """Equi-join keys for points within ``radius_m`` of each other.
 
-    Latitude is cut into bands a little over two radii high, and every band into as many
+    Latitude is cut into bands ``span`` times 0.7 radii high, and every band into as many
     longitude cells as keep each at least that wide at its narrow edge. One side of a join keeps
-    its home cell; the other is copied to every cell its circle touches (about four).
+    its home cell; the other is copied to every cell its circle touches: about four with span 3,
+    three with span 4, for a larger number of pairs to test.
     ``wrap`` joins the cells on both sides of the 180th meridian.
     """
 
-    def __init__(self, radius_m: float, wrap: bool = True):
+    def __init__(self, radius_m: float, wrap: bool = True, span: int = 3):
         angle = min(radius_m / EARTH_RADIUS_M, math.pi / 2)
         self.wrap = wrap
         self.reach = math.degrees(radius_m / EARTH_RADIUS_M) * _WIDER
         self.sin_reach = math.sin(angle)
         # two points of a square with this side are never farther apart than the radius
         self.tight = math.degrees(math.sqrt(2) * math.sin(angle / 2)) * _NARROWER
-        self.height = 3 * self.tight
+        self.height = span * self.tight
 
     def _band(self, lat: Column) -> Column:
-        return F.floor((lat + 90) / self.height)
+        return sure_key(F.floor((lat + 90) / self.height))
 
     def _cells_in(self, band: Column) -> Column:
         south = band * self.height - 90
@@ -69,7 +79,7 @@ class CircleGrid:
         return F.greatest(F.floor(F.cos(F.radians(outer)) * (360 / self.height)), F.lit(1))
 
     def _wrapped(self, cell: Column, cells: Column) -> Column:
-        return F.pmod(cell, cells) if self.wrap else cell
+        return sure_key(F.pmod(cell, cells) if self.wrap else cell)
 
     def home(self, df: DataFrame, lat: str, lon: str, band: str, cell: str) -> DataFrame:
         """Adds the one cell each point lies in."""
@@ -96,7 +106,7 @@ class CircleGrid:
 
     def sure(self, df: DataFrame, lat: str, lon: str, band: str, cell: str) -> DataFrame:
         """Adds a cell so small that all points in it are within the radius of each other."""
-        df = df.withColumn(band, F.floor((F.col(lat) + 90) / self.tight))
+        df = df.withColumn(band, sure_key(F.floor((F.col(lat) + 90) / self.tight)))
         south = F.col(band) * self.tight - 90
         north = south + self.tight
         inner = F.least(F.abs(south), F.abs(north))

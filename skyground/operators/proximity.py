@@ -39,7 +39,8 @@ def dominated_ids(
     2. The few rows left, at most one id per small cell, are compared with all rows of the grid
        cells around them. Rows of a crowded cell are dealt over several tasks.
     """
-    grid = CircleGrid(radius_m, wrap)
+    # the id test is cheap and comes first, so larger cells with fewer copies pay here
+    grid = CircleGrid(radius_m, wrap, span=4)
     points = df.select(
         "id",
         F.col("latitude").alias("_lat"),
@@ -57,7 +58,7 @@ def dominated_ids(
     leading = crowded.join(leaders, [*_SURE, "id"], "left_semi").select(
         "id", "_lat", "_lon", "_sec")
 
-    slot_s = max(2 * window_s, 1)
+    slot_s = max(3 * window_s, 1)
     probes = grid.touched(leading, "_lat", "_lon", "_band", "_cell").withColumn(
         "_slot", F.explode(buckets(F.col("_sec") - window_s, F.col("_sec") + window_s, slot_s)))
     others = grid.home(points, "_lat", "_lon", "_band", "_cell").withColumn(

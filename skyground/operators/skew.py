@@ -36,7 +36,8 @@ def hot_keys(
 
 
 def _dealt(row_columns: Sequence[str], pieces: Column) -> Column:
-    return F.pmod(F.xxhash64(*row_columns), pieces)
+    # never NULL: pieces is at least 1
+    return F.coalesce(F.pmod(F.xxhash64(*row_columns), pieces), F.lit(0))
 
 
 def split_hot(
