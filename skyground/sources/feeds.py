@@ -24,6 +24,16 @@ def _checked(parsed: Column, text: Column, strict: bool, name: str) -> Column:
         parsed)
 
 
+def _parsed_once(raw: DataFrame, *columns: Column) -> DataFrame:
+    """``raw.select(*columns)`` that later filters cannot be pushed through.
+
+    A filter on parsed values would otherwise be rewritten over the raw text, and parse a
+    coordinate again for each of the box edges it is compared with. A one-row generator is a
+    boundary to that rewriting and stays inside generated code.
+    """
+    return raw.select(F.inline(F.array(F.struct(*columns))))
+
+
 def confident_at_ingest(confidence: Column) -> Column:
     """Keeps blank confidence, unlike the filter before proximity dedup. Not trimmed."""
     return ~F.lower(F.coalesce(confidence, F.lit(""))).isin(*V.LOW_CONFIDENCE)
@@ -42,7 +52,8 @@ def route_detections(
     warnings = sum((P.unreadable(c(n), v) for n, v in numbers.items()), F.lit(0))
     keep = confident_at_ingest(c("confidence"))
     lat, lon = P.decimal(c("latitude")), P.decimal(c("longitude"))
-    parsed = raw.select(
+    parsed = _parsed_once(
+        raw,
         keep.alias("_keep"),
         P.moment(c("acq_date"), c("acq_time")).alias("acq_datetime"),
         lat.alias("latitude"),
@@ -80,7 +91,8 @@ def route_reports(
         "actor2": "actor2_name", "location": "action_geo_fullname",
         "country": "action_geo_country",
     }
-    parsed = raw.select(
+    parsed = _parsed_once(
+        raw,
         c("event_id_cnty").alias("global_event_id"),
         day.alias("event_date"),
         F.timestamp_seconds(midnight_s(day)).alias("event_datetime"),

@@ -218,17 +218,19 @@ FROM (SELECT * FROM map ORDER BY score_display DESC, acled_event_id LIMIT 10)"""
     "export_rows": """
 SELECT round(map_lat, 5) AS map_lat, round(map_lon, 5) AS map_lon,
  round(event_lat, 5) AS event_lat, round(event_lon, 5) AS event_lon,
- round(score_display, 3) AS score_display, round(CAST(fire_frp AS DOUBLE), 5) AS fire_frp,
+ round(round(score_display, 5), 3) AS score_display,
+ round(CAST(fire_frp AS DOUBLE), 5) AS fire_frp,
  fire_confidence, event_sub_event_type, event_description, event_location_full_name, event_source,
  CAST(coalesce(event_num_sources, -1) AS BIGINT) AS event_num_sources,
  event_text AS event_datetime, fire_text AS fire_acq_datetime,
- round(CAST(distance_m AS DOUBLE), 3) AS distance_m,
+ round(round(CAST(distance_m AS DOUBLE), 5), 3) AS distance_m,
  round(CAST(time_delta_h AS DOUBLE), 5) AS time_delta_h FROM map""",
     "run_metadata": f"SELECT count(*) AS total_events,"
                     f" count(*) FILTER (event_s >= {_DAY_16}) AS events_added_last_run FROM map",
     "visible_events": """
 SELECT round(map_lat, 5) AS map_lat, round(map_lon, 5) AS map_lon, event_location_full_name,
- event_sub_event_type, event_text AS event_datetime, round(score_display, 3) AS score_display
+ event_sub_event_type, event_text AS event_datetime,
+ round(round(score_display, 5), 3) AS score_display
 FROM map WHERE round(score_display, 5) >= 5 AND NOT contains(lower(event_sub_event_type), 'air')
  AND left(event_text, 10) BETWEEN '2024-01-05' AND '2024-01-25'""",
     "date_range": """
