@@ -26,13 +26,13 @@ def great_circle_m(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -
     return F.asin(F.sqrt(F.least(hav, F.lit(1.0)))) * (2 * EARTH_RADIUS_M)
 
 
-def sure_key(value: Column) -> Column:
+def _sure_key(value: str) -> str:
     """A join key known not to be NULL (rows without one were filtered before).
 
     Otherwise Spark guards each join with "key is not null" and pushes that down as a filter on the
     whole cell formula, evaluated once more per row.
     """
-    return F.coalesce(value, F.lit(0))
+    return f"coalesce({value}, 0L)"
 
 
 def located(lat: Column, lon: Column) -> Column:
@@ -70,49 +70,62 @@ class CircleGrid:
         self.tight = math.degrees(math.sqrt(2) * math.sin(angle / 2)) * _NARROWER
         self.height = span * self.tight
 
-    def _band(self, lat: Column) -> Column:
-        return sure_key(F.floor((lat + 90) / self.height))
+    # Cell numbers are SQL text: short to read, and one call each to build.
 
-    def _cells_in(self, band: Column) -> Column:
-        south = band * self.height - 90
-        outer = F.least(F.greatest(F.abs(south), F.abs(south + self.height)), F.lit(90.0))
-        return F.greatest(F.floor(F.cos(F.radians(outer)) * (360 / self.height)), F.lit(1))
+    def _band(self, lat: str) -> str:
+        return f"floor(({lat} + 90) / {self.height!r}D)"
 
-    def _wrapped(self, cell: Column, cells: Column) -> Column:
-        return sure_key(F.pmod(cell, cells) if self.wrap else cell)
+    def _cells_in(self, band: str) -> str:
+        south = f"({band} * {self.height!r}D - 90)"
+        outer = f"least(greatest(abs({south}), abs({south} + {self.height!r}D)), 90D)"
+        return f"greatest(floor(cos(radians({outer})) * {360 / self.height!r}D), 1)"
+
+    def _wrapped(self, cell: str, cells: str) -> str:
+        return _sure_key(f"pmod({cell}, {cells})" if self.wrap else cell)
+
+    def _cell_of(self, lon: str, cells: str) -> str:
+        return f"floor(({lon} + 180) / 360 * {cells})"
 
     def home(self, df: DataFrame, lat: str, lon: str, band: str, cell: str) -> DataFrame:
         """Adds the one cell each point lies in."""
-        df = df.withColumn(band, self._band(F.col(lat)))
-        cells = self._cells_in(F.col(band))
-        return df.withColumn(
-            cell, self._wrapped(F.floor((F.col(lon) + 180) / 360 * cells), cells))
+        return (
+            df.selectExpr("*", f"{_sure_key(self._band(lat))} AS {band}")
+            .selectExpr("*", f"{self._cells_in(band)} AS _cells")
+            .selectExpr("*", f"{self._wrapped(self._cell_of(lon, '_cells'), '_cells')} AS {cell}")
+            .drop("_cells")
+        )
 
     def touched(self, df: DataFrame, lat: str, lon: str, band: str, cell: str) -> DataFrame:
         """One copy of each row per cell its circle touches, none twice."""
-        df = df.withColumn(band, F.explode(F.sequence(
-            self._band(F.col(lat) - self.reach), self._band(F.col(lat) + self.reach))))
-        df = df.withColumn("_cells", self._cells_in(F.col(band)))
-        cos_lat = F.cos(F.radians(F.col(lat)))
-        half = F.degrees(F.asin(F.least(F.lit(self.sin_reach) / cos_lat, F.lit(1.0)))) * _WIDER
-        first = F.floor((F.col(lon) - half + 180) / 360 * F.col("_cells"))
-        last = F.floor((F.col(lon) + half + 180) / 360 * F.col("_cells"))
+        reach, sin_reach = f"{self.reach!r}D", f"{self.sin_reach!r}D"
         # a circle around a pole, or one wider than the band has cells, takes the whole band
-        whole = (cos_lat <= self.sin_reach) | (last - first + 1 >= F.col("_cells"))
-        end = F.col("_cells") - 1 if self.wrap else F.col("_cells")
-        df = df.withColumn(cell, F.explode(F.sequence(
-            F.when(whole, F.lit(0)).otherwise(first), F.when(whole, end).otherwise(last))))
-        return df.withColumn(cell, self._wrapped(F.col(cell), F.col("_cells"))).drop("_cells")
+        whole = f"(cos(radians({lat})) <= {sin_reach} OR _last - _first + 1 >= _cells)"
+        end = "_cells - 1" if self.wrap else "_cells"
+        half = f"degrees(asin(least({sin_reach} / cos(radians({lat})), 1D))) * {_WIDER}D"
+        return (
+            df.selectExpr("*", f"explode(sequence({self._band(f'{lat} - {reach}')},"
+                               f" {self._band(f'{lat} + {reach}')})) AS {band}")
+            .selectExpr("*", f"{self._cells_in(band)} AS _cells", f"{half} AS _half")
+            .selectExpr("*", f"{self._cell_of(f'{lon} - _half', '_cells')} AS _first",
+                        f"{self._cell_of(f'{lon} + _half', '_cells')} AS _last")
+            .selectExpr("*", f"explode(sequence(if({whole}, 0, _first),"
+                             f" if({whole}, {end}, _last))) AS _touched")
+            .selectExpr("*", f"{self._wrapped('_touched', '_cells')} AS {cell}")
+            .drop("_cells", "_half", "_first", "_last", "_touched")
+        )
 
     def sure(self, df: DataFrame, lat: str, lon: str, band: str, cell: str) -> DataFrame:
         """Adds a cell so small that all points in it are within the radius of each other."""
-        df = df.withColumn(band, sure_key(F.floor((F.col(lat) + 90) / self.tight)))
-        south = F.col(band) * self.tight - 90
-        north = south + self.tight
-        inner = F.least(F.abs(south), F.abs(north))
-        astride = (south <= 0) & (north >= 0)
-        off_globe = (south < -90) | (north > 90)
-        widest = F.when(astride | off_globe, F.lit(1.0)).otherwise(F.cos(F.radians(inner)))
-        cells = F.greatest(F.ceil(widest * (360 / self.tight)), F.lit(1))
-        return df.withColumn(
-            cell, self._wrapped(F.floor((F.col(lon) + 180) / 360 * cells), cells))
+        south = f"({band} * {self.tight!r}D - 90)"
+        north = f"({south} + {self.tight!r}D)"
+        # width is bounded at the edge nearer the equator; a band across it, or off the globe,
+        # counts as widest
+        widest = (f"if({south} * {north} <= 0 OR {south} < -90 OR {north} > 90, 1D,"
+                  f" cos(radians(least(abs({south}), abs({north})))))")
+        return (
+            df.selectExpr(
+                "*", _sure_key(f"floor(({lat} + 90) / {self.tight!r}D)") + f" AS {band}")
+            .selectExpr("*", f"greatest(ceil({widest} * {360 / self.tight!r}D), 1) AS _cells")
+            .selectExpr("*", f"{self._wrapped(self._cell_of(lon, '_cells'), '_cells')} AS {cell}")
+            .drop("_cells")
+        )

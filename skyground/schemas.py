@@ -58,10 +58,9 @@ RAW_REPORT_PAGE = T.StructType([T.StructField("data", T.ArrayType(RAW_REPORTS))]
 
 def conform(df, schema: T.StructType):
     """Columns of ``schema`` in its order and types; absent columns become NULL."""
-    from pyspark.sql import functions as F
-
     have = set(df.columns)
-    return df.select([
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+    return df.selectExpr(*[
+        f"CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()})"
+        f" AS `{f.name}`"
         for f in schema.fields
     ])
