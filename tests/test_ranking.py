@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyground.operators import ranking, serving
+from skyground.schemas import CORRELATIONS, conform
+
+
+def pairs(spark, rows):
+    """Rows (fire id, event id, score, lat, lon)."""
+    df = spark.createDataFrame(
+        rows, "firms_detection_id bigint, acled_event_id bigint, score float, event_lat double,"
+              " event_lon double")
+    return conform(df.withColumn("event_datetime", F.lit("2024-03-05 00:00:00")), CORRELATIONS)
+
+
+def test_best_match_and_ties(spark):
+    scored = [(5, 1, 0.5), (3, 1, 0.5), (4, 1, 0.1), (9, 2, 0.001), (9, 3, 0.002), (8, 4, None)]
+    df = pairs(spark, [(*row, 1.0, 1.0) for row in scored])
+    got = ranking.best_per_report(df).select("acled_event_id", "firms_detection_id").collect()
+    assert sorted(map(tuple, got)) == [(1, 3), (3, 9)]
+
+
+def test_best_match_is_cut_before_the_shuffle(spark):
+    plan = ranking.best_per_report(pairs(spark, [(1, 1, 0.5, 0.0, 0.0)]))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_thirteen_reports_at_one_place(spark):
+    df = pairs(spark, [(1, i, 0.5, 10.0, 20.0) for i in range(13)])
+    rows = sorted(ranking.map_view(df).collect(), key=lambda r: r.acled_event_id)
+    assert len({(r.map_lat, r.map_lon) for r in rows}) == 13
+    assert rows[12].map_lat == pytest.approx(10 + 0.002 - 0.0045)
+    assert rows[12].map_lon == pytest.approx(20 + 0.0012 - 0.0045)
+    straight = {r.acled_event_id: r for r in ranking.map_view(df, grid=True).collect()}
+    assert straight[12].map_lon == pytest.approx(20 + 0.001 - 0.0045)
+    assert straight[9].map_lon == pytest.approx(20 - 0.0045)
+
+
+@pytest.mark.parametrize("rows_per_task,pieces", [(1_000_000, 256), (5, 4), (1, 64)])
+def test_ordinal_with_split_groups(spark, rows_per_task, pieces):
+    """Positions are exact however a crowded group is cut, also with repeated and NULL groups."""
+    rnd = random.Random(1)
+    ids = rnd.sample(range(-10_000, 10_000), 900)
+    rows = [(i, rnd.choice([1.0, 1.0, 1.0, 2.0, None, rnd.random()]), 5.0) for i in ids]
+    df = spark.createDataFrame(rows, "id bigint, a double, b double").repartition(5)
+    got = ranking.ordinal_within(df, ["a", "b"], "id", "n", rows_per_task, pieces).collect()
+    assert len(got) == 900
+    positions = {}
+    for i, a, _ in sorted(rows, key=lambda r: r[0]):
+        positions.setdefault(a, []).append(i)
+    assert {r.id: r.n for r in got} == {
+        i: n for members in positions.values() for n, i in enumerate(members)}
+
+
+def test_top_and_leaderboard(spark):
+    df = pairs(spark, [(i, 100 - i, (i % 7) / 10 + 0.1, 1.0, 1.0) for i in range(30)])
+    top = ranking.top_pairs(df).collect()
+    assert [round(r.score, 3) for r in top] == [0.7, 0.7, 0.7]
+    text = ranking.top_pairs(df)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in text
+    board = ranking.leaderboard(ranking.map_view(df)).orderBy("rank").collect()
+    assert [r["rank"] for r in board] == list(range(1, 11))
+    assert board[0].score_text == "700.0" and board[0].month == "2024-03"
+
+
+def export_like(spark, rows):
+    return spark.createDataFrame(
+        rows, "score_display double, event_sub_event_type string, event_datetime string")
+
+
+def test_visible_rows(spark):
+    rows = export_like(spark, [
+        (5.0, "Air/drone strike", "2024-01-05 00:00:00"),
+        (None, "Shelling/artillery/missile attack", "2024-01-06 00:00:00"),
+        (9.0, None, None), (1.0, "Other", "2024-01-07 00:00:00")])
+    count = lambda **o: serving.visible(rows, **o).count()
+    assert count() == 4
+    assert count(min_score=1) == 3
+    assert count(air=False) == 3
+    assert count(air=False, shell=False) == 2
+    assert count(date_from="2024-01-05") == 3  # a row without a date is hidden
+    assert count(date_from="2024-01-05", date_to="2024-01-06") == 2
+    assert count(date_to="2024-01-05") == 2
+
+
+@pytest.mark.parametrize("dates,text", [
+    (["2024-01-05 00:00:00", "2024-01-09 00:00:00", None], "2024-01"),
+    (["2024-01-05 00:00:00", "2024-03-09 00:00:00"], "2024-01 – 2024-03"),
+    ([None, ""], None),
+])
+def test_date_range(spark, dates, text):
+    rows = export_like(spark, [(1.0, "x", d) for d in dates])
+    assert serving.date_range(rows).first().header_range == text

@@ -1,0 +1,170 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import as_rows, detections, reports
+from skyground.operators import checks, merge
+from skyground.operators.correlate import correlate
+from skyground.plans import daily
+from skyground.schemas import CORRELATIONS, DETECTIONS, REPORTS
+from skyground.sources import export, tables
+from skyground.sources.landed import write_batch
+
+T0 = 1_700_006_400
+
+
+def keyed(spark, rows):
+    return spark.createDataFrame(rows, "k int, v string")
+
+
+def test_merge_inserts_only_new_keys(spark):
+    target = keyed(spark, [(1, "old"), (None, "old")])
+    source = keyed(spark, [(1, "new"), (2, "a"), (2, "b"), (None, "new")])
+    rows = merge.merge_frames(target, source, ["k"]).collect()
+    assert sorted(((r.k is None, r.k or 0), r.v) for r in rows) == [
+        ((False, 1), "old"), ((False, 2), "a"), ((False, 2), "b"), ((True, 0), "new"),
+        ((True, 0), "old")]
+
+
+def test_merge_twice_is_merge_once(spark):
+    target, source = keyed(spark, [(1, "x")]), keyed(spark, [(1, "y"), (3, "z")])
+    once = merge.merge_frames(target, source, ["k"])
+    assert sorted(map(tuple, merge.merge_frames(once, source, ["k"]).collect())) == sorted(
+        map(tuple, once.collect()))
+
+
+def test_composite_key(spark):
+    df = lambda rows: spark.createDataFrame(rows, "a int, b int, v int")
+    fresh = merge.new_rows(df([(1, 1, 9), (1, 2, 9), (2, None, 9)]), df([(1, 1, 0), (2, None, 0)]),
+                           ["a", "b"])
+    assert sorted((r.a, r.b or 0) for r in fresh.collect()) == [(1, 2), (2, 0)]
+
+
+def batch(spark, folder, shift, frp):
+    """Six sites with two near detections and one report each."""
+    fires = [(shift + 10 * s + i, 45.0 + s, 30.0, T0 + 600 * i) for s in range(6) for i in (0, 1)]
+    events = [(shift + 500 + s, 45.01 + s, 30.0, T0) for s in range(6)]
+    r = reports(spark, [row | {"place": f"P{row['id']}", "sub_event_type": "Air/drone strike"}
+                        for row in as_rows(events)])
+    r = r.withColumn("global_event_id", F.concat(F.lit("E"), F.col("id")))
+    write_batch(detections(spark, as_rows(fires, frp=frp)), f"{folder}/d", DETECTIONS)
+    write_batch(r, f"{folder}/r", REPORTS)
+    return f"{folder}/d", f"{folder}/r"
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    """Two days; the second repeats the first with other intensities and adds new rows."""
+    folder = tmp_path_factory.mktemp("landing")
+    one = batch(spark, f"{folder}/1", 0, 30.0)
+    first = daily.run_day(spark, "lake", *one)
+    again = daily.run_day(spark, "lake", *one)
+    changed = daily.run_day(spark, "lake", *batch(spark, f"{folder}/2", 0, 60.0))
+    more = daily.run_day(spark, "lake", *batch(spark, f"{folder}/3", 1000, 30.0))
+    return first, again, changed, more
+
+
+def test_daily_counts(lake):
+    first, again, changed, more = lake
+    assert first == dict(detections=12, new_detections=12, reports=6, new_reports=6, pairs=6,
+                         new_pairs=6)
+    assert again == dict(detections=12, new_detections=0, reports=6, new_reports=0, pairs=6,
+                         new_pairs=0)
+    assert changed["new_pairs"] == 0 and more["new_pairs"] == 6
+
+
+def test_tables_have_their_schemas(spark, lake):
+    for name, schema in ((tables.DETECTIONS_BRONZE, DETECTIONS), (tables.REPORTS_BRONZE, REPORTS),
+                         (tables.DETECTIONS_SILVER, DETECTIONS),
+                         (tables.CORRELATIONS_GOLD, CORRELATIONS)):
+        assert spark.table(f"lake.{name}").schema.simpleString() == schema.simpleString()
+
+
+def test_first_score_stays_and_silver_is_the_last_batch(spark, lake):
+    gold = spark.table("lake.fire_event_correlations")
+    assert {r.fire_frp for r in gold.collect()} == {30.0}
+    assert gold.filter("created_at IS NULL").count() == 0
+    assert sorted(r.id for r in spark.table("lake.firms_silver").collect()) == [
+        1001 + 10 * s for s in range(6)]
+
+
+def test_view_and_health(spark, lake):
+    daily.serving_view(spark, "lake")
+    assert spark.sql("SELECT count(*) AS n FROM gold_fire_event_map").first().n == 12
+    health = daily.check_tables(spark, "lake")
+    assert all(r.passed for r in health.collect()) and health.count() == 5
+
+
+def test_export(spark, lake, tmp_path):
+    folder = tmp_path / "out"
+    daily.export(spark, "lake", str(folder), str(folder / "none.json"))
+    lines = [json.loads(line) for part in sorted((folder / "events").glob("part-*"))
+             for line in part.read_text().splitlines()]
+    assert len(lines) == 12 and len(lines[0]) == 16
+    assert lines[0]["event_description"] is None
+    scores = [line["score_display"] for line in lines]
+    assert scores == sorted(scores, reverse=True)
+    (meta,) = [json.loads(p.read_text()) for p in (folder / "metadata").glob("part-*")]
+    assert (meta["total_events"], meta["events_added_last_run"]) == (12, 12)
+    assert meta["last_run_utc"].endswith("+00:00")
+    previous = tmp_path / "previous.json"
+    previous.write_text('{\n "last_run_utc": "x",\n "total_events": 10\n}')
+    daily.export(spark, "lake", str(tmp_path / "next"), str(previous))
+    (meta,) = [json.loads(p.read_text()) for p in (tmp_path / "next" / "metadata").glob("part-*")]
+    assert meta["events_added_last_run"] == 2
+
+
+@pytest.mark.parametrize("text,total", [
+    ('{"total_events": 7}', 7), ('{"other": 1}', 0), ("broken {", 0), ("", 0),
+    ('{"total_events": "x"}', 0)])
+def test_previous_total(spark, tmp_path, text, total):
+    path = tmp_path / "m.json"
+    path.write_text(text)
+    assert export.previous_total(spark, str(path)).first().total == total
+    assert export.previous_total(spark, str(tmp_path / "missing.json")).first().total == 0
+
+
+def test_export_rounds_and_keeps_utc(spark):
+    pairs = correlate(
+        detections(spark, as_rows([(1, 45.0, 30.0, T0)])),
+        reports(spark, as_rows([(2, 45.012345678, 30.0, T0)])))
+    from skyground.operators.ranking import map_view
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    row = export.export_rows(map_view(pairs)).first()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        moved = export.export_rows(map_view(pairs)).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert row.event_lat == 45.01235 and row.event_datetime == "2023-11-15 00:00:00"
+    assert moved.event_datetime == row.event_datetime
+
+
+def test_failed_checks_are_named_together(spark):
+    empty = spark.createDataFrame([], DETECTIONS)
+    bad = spark.createDataFrame([(1.5,), (-0.5,)], "score float")
+    rows = checks.contract_checks(empty, bad)
+    assert {r.check_name: r.passed for r in rows.collect()} == dict(
+        silver_rows=False, residual_pairs=True, score_min=False, score_max=False)
+    with pytest.raises(checks.CheckFailed, match="silver_rows.*score_min.*score_max"):
+        checks.require(rows)
+    health = checks.table_health({"a": empty, "pairs": bad}, "pairs")
+    assert {r.check_name: (r.value, r.passed) for r in health.collect()} == dict(
+        a_rows=(0, False), pairs_rows=(2, True), bad_scores=(2, False))
+
+
+def test_checks_pass_without_pairs(spark):
+    silver = detections(spark, as_rows([(1, 45.0, 30.0, T0)]))
+    none = spark.createDataFrame([], "score float")
+    checks.require(checks.contract_checks(silver, none))
+    assert checks.score_stats(none).first().score_avg is None
+
+
+def test_resident_near_duplicates_fail_the_contract(spark):
+    silver = detections(spark, as_rows([(1, 45.0, 30.0, T0), (2, 45.0, 30.0, T0)]))
+    rows = checks.contract_checks(silver, spark.createDataFrame([(0.5,)], "score float"))
+    assert [r.check_name for r in rows.collect() if not r.passed] == ["residual_pairs"]
