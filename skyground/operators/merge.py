@@ -8,21 +8,49 @@ from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .skew import hot_keys, split_hot
 
-def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+
+# A batch up to this size is sent to the executors whole: its keys are a few tens of megabytes.
+SMALL_BATCH_ROWS = 1_000_000
+
+
+def new_rows(
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    small_source: bool = False,
+    rows_per_task: int = 1_000_000,
+) -> DataFrame:
     """Source rows to insert.
 
     A NULL key matches nothing, so such rows are always new; they skip the join, where they would
     all meet in one task. Several source rows with one new key are all kept.
+
+    The target is first reduced to the keys the source has. With ``small_source`` (its size has
+    been checked) that needs no shuffle of the target at all; otherwise both sides are combined
+    to distinct keys map side, and source keys that hold very many rows are split.
     """
+    keys = list(keys)
     missing = reduce(or_, [F.col(k).isNull() for k in keys])
-    unmatched = source.filter(~missing).join(target.select(*keys), list(keys), "left_anti")
-    return unmatched.select(*source.columns).unionByName(source.filter(missing))
+    keyed = source.filter(~missing)
+    wanted = keyed.select(*keys).distinct()
+    if small_source:
+        known = target.select(*keys).join(F.broadcast(wanted), keys, "left_semi").distinct()
+        # at most the distinct keys of the source
+        fresh = keyed.join(F.broadcast(known), keys, "left_anti")
+    else:
+        known = target.select(*keys).distinct().join(wanted, keys, "left_semi")
+        left, right, on = split_hot(
+            keyed, known, keys,
+            left_hot=hot_keys(keyed, keys, rows_per_task), left_deal=source.columns)
+        fresh = left.join(right, on, "left_anti")
+    return fresh.select(*source.columns).unionByName(source.filter(missing))
 
 
-def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], **options) -> DataFrame:
     """The target after the merge, as a DataFrame."""
-    return target.unionByName(new_rows(source, target, keys))
+    return target.unionByName(new_rows(source, target, keys, **options))
 
 
 def insert_new(
@@ -35,6 +63,8 @@ def insert_new(
     nothing: the anti join sees the committed rows, and a write that failed has committed none.
     """
     target = spark.table(table)
-    before = target.count()
-    new_rows(source.select(*target.columns), target, keys).write.insertInto(table)
-    return {"source": source.count(), "inserted": spark.table(table).count() - before}
+    before, rows = target.count(), source.count()
+    new_rows(
+        source.select(*target.columns), target, keys, small_source=rows <= SMALL_BATCH_ROWS
+    ).write.insertInto(table)
+    return {"source": rows, "inserted": spark.table(table).count() - before}

@@ -43,13 +43,13 @@ def ordinal_within(
     gives the exact position wherever the cuts fall.
     """
     hashed = df.withColumn("_hash", F.xxhash64(*group))
-    hot = hot_keys(df, group, rows_per_task, most=1_024)
+    hot = hot_keys(df, group, rows_per_task, per_class=16)
     shares = F.array([F.lit(i / pieces) for i in range(1, pieces)])
     cuts = (
         # at most 1,024 hot groups with 255 cuts each: 2 MB
         hashed.join(F.broadcast(hot), "_hash", "left_semi")
         .groupBy("_hash")
-        .agg(F.percentile_approx(order, shares, F.lit(10_000)).alias("_cuts"))
+        .agg(F.percentile_approx(order, shares, F.lit(8 * pieces)).alias("_cuts"))
     )
     ranged = hashed.join(F.broadcast(cuts), "_hash", "left").withColumn(
         "_piece", F.coalesce(

@@ -11,33 +11,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# At most this many hot keys are looked for: 16 bytes each, so the broadcast list stays under 1 MB.
-MOST_HOT_KEYS = 16_384
+# Hot keys are looked for in 64 hash classes with at most 256 each: 16,384 keys of 16 bytes, so the
+# broadcast list stays under 1 MB whatever the size of the data.
+_CLASSES = 64
+_PER_CLASS = 256
 
 
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     rows_per_task: int,
-    most: int = MOST_HOT_KEYS,
+    per_class: int = _PER_CLASS,
 ) -> DataFrame:
     """``(_hash, _pieces)`` for key hashes with more than ``rows_per_task`` rows.
 
-    A frequent-items sketch finds them in one pass over the key columns: it is merged map side,
-    its size is fixed, and no key column is shuffled.
+    A frequent-items sketch per hash class finds them in one pass over the key columns. Sketches
+    have a fixed size and are merged map side, so no key column is shuffled; the classes spread
+    the merging of many tasks' sketches over as many reducers.
     """
-    keyed = df.select(F.xxhash64(*keys).alias("_hash"))
-    sketch = keyed.agg(F.expr(f"approx_top_k(_hash, {most}, {4 * most})").alias("top"))
-    top = sketch.select(F.explode("top").alias("hot"))
-    return top.filter(F.col("hot.count") > rows_per_task).select(
-        F.col("hot.item").alias("_hash"),
-        F.ceil(F.col("hot.count") / rows_per_task).alias("_pieces"),
+    keyed = df.selectExpr(f"xxhash64({', '.join(f'`{k}`' for k in keys)}) AS _hash")
+    sketches = keyed.groupBy(F.expr(f"pmod(_hash, {_CLASSES})").alias("_class")).agg(
+        F.expr(f"approx_top_k(_hash, {per_class}, {4 * per_class})").alias("top"))
+    return sketches.select(F.explode("top").alias("hot")).filter(
+        F.col("hot.count") > rows_per_task
+    ).selectExpr(
+        "hot.item AS _hash",
+        f"ceil(hot.count / {rows_per_task}) AS _pieces",
     )
 
 
-def _dealt(row_columns: Sequence[str], pieces: Column) -> Column:
+def _dealt(row_columns: Sequence[str], pieces: str) -> Column:
     # never NULL: pieces is at least 1
-    return F.coalesce(F.pmod(F.xxhash64(*row_columns), pieces), F.lit(0))
+    return F.expr(f"coalesce(pmod(xxhash64({', '.join(f'`{c}`' for c in row_columns)}), {pieces}), 0L)")
 
 
 def split_hot(
@@ -66,22 +71,20 @@ def split_hot(
         .agg(F.max("_lp").alias("_lp"), F.max("_rp").alias("_rp")))
 
     def tagged(df: DataFrame) -> DataFrame:
-        # bounded by MOST_HOT_KEYS rows per list, whatever the size of the data
+        # at most 16,384 rows per list
         df = df.withColumn("_hash", F.xxhash64(*keys))
-        df = df.join(F.broadcast(hot), "_hash", "left").drop("_hash")
-        one = F.lit(1).cast("bigint")
-        return df.withColumn("_lp", F.coalesce("_lp", one)).withColumn(
-            "_rp", F.coalesce("_rp", one))
+        return df.join(F.broadcast(hot), "_hash", "left").selectExpr(
+            "* EXCEPT (_hash, _lp, _rp)", "coalesce(_lp, 1L) AS _lp", "coalesce(_rp, 1L) AS _rp")
 
     left, right = tagged(left), tagged(right)
-    every = lambda pieces: F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1))
+    every = lambda pieces: F.expr(f"explode(sequence(0L, {pieces} - 1))")
     on = list(keys)
     if left_hot is not None:
-        left = left.withColumn("_left_piece", _dealt(left_deal, F.col("_lp")))
-        right = right.withColumn("_left_piece", every(F.col("_lp")))
+        left = left.withColumn("_left_piece", _dealt(left_deal, "_lp"))
+        right = right.withColumn("_left_piece", every("_lp"))
         on.append("_left_piece")
     if right_hot is not None:
-        right = right.withColumn("_right_piece", _dealt(right_deal, F.col("_rp")))
-        left = left.withColumn("_right_piece", every(F.col("_rp")))
+        right = right.withColumn("_right_piece", _dealt(right_deal, "_rp"))
+        left = left.withColumn("_right_piece", every("_rp"))
         on.append("_right_piece")
     return left.drop("_lp", "_rp"), right.drop("_lp", "_rp"), on

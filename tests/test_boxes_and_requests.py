@@ -42,6 +42,9 @@ def test_box_table_equals_brute_force(spark):
                 if any(s <= a <= n and w <= o <= e for s, n, w, e in table)]
     got = boxes.keep_in_box_table(points(spark, places), df)
     assert ids(got) == expected
+    crowded = [(10.5, 21.0)] * 200 + places
+    split = boxes.keep_in_box_table(points(spark, crowded).repartition(4), df, rows_per_task=10)
+    assert ids(split) == list(range(200)) + [i + 200 for i in expected]
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
 
 

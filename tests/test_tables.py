@@ -20,10 +20,11 @@ def keyed(spark, rows):
     return spark.createDataFrame(rows, "k int, v string")
 
 
-def test_merge_inserts_only_new_keys(spark):
+@pytest.mark.parametrize("options", [{}, {"small_source": True}, {"rows_per_task": 1}])
+def test_merge_inserts_only_new_keys(spark, options):
     target = keyed(spark, [(1, "old"), (None, "old")])
     source = keyed(spark, [(1, "new"), (2, "a"), (2, "b"), (None, "new")])
-    rows = merge.merge_frames(target, source, ["k"]).collect()
+    rows = merge.merge_frames(target, source, ["k"], **options).collect()
     assert sorted(((r.k is None, r.k or 0), r.v) for r in rows) == [
         ((False, 1), "old"), ((False, 2), "a"), ((False, 2), "b"), ((True, 0), "new"),
         ((True, 0), "old")]
@@ -36,6 +37,25 @@ def test_merge_twice_is_merge_once(spark):
         map(tuple, once.collect()))
 
 
+@pytest.mark.parametrize("options", [{}, {"small_source": True}, {"rows_per_task": 10}])
+def test_merge_with_a_crowded_key(spark, options):
+    """A third of the batch has one new key, a third one known key; each row is kept or not."""
+    source = keyed(spark, [(1, f"n{i}") for i in range(100)] + [(2, f"k{i}") for i in range(100)]
+                   + [(100 + i, "x") for i in range(100)]).repartition(4)
+    target = keyed(spark, [(2, "old")] * 50 + [(150, "old")])
+    got = merge.new_rows(source, target, ["k"], **options).collect()
+    assert sorted(r.k for r in got) == [1] * 100 + [100 + i for i in range(100) if i != 50]
+    assert len({r.v for r in got if r.k == 1}) == 100
+
+
+def test_a_small_batch_does_not_shuffle_the_target(spark, tmp_path):
+    keyed(spark, [(i, "x") for i in range(50)]).write.parquet(str(tmp_path / "t"))
+    target, source = spark.read.parquet(str(tmp_path / "t")), keyed(spark, [(1, "a")])
+    plan = merge.new_rows(source, target, ["k"], small_source=True)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+
+
 def test_composite_key(spark):
     df = lambda rows: spark.createDataFrame(rows, "a int, b int, v int")
     fresh = merge.new_rows(df([(1, 1, 9), (1, 2, 9), (2, None, 9)]), df([(1, 1, 0), (2, None, 0)]),
