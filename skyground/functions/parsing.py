@@ -11,7 +11,7 @@ _BLANKS = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-_DECIMAL = r"^[+-]?((nan|inf|infinity)|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)$"
+_DECIMAL = r"(?i)^[+-]?((nan|inf|infinity)|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)$"
 _WHOLE = r"^[+-]?[0-9]+$"
 
 
@@ -29,27 +29,28 @@ def clipped(text: Column, length: int) -> Column:
     return F.nullif(F.substring(text, 1, length), F.lit(""))
 
 
-def decimal(text: Column) -> Column:
-    """DOUBLE or NULL. The pattern keeps out forms only the JVM reads, such as '1.0d'."""
-    clean = stripped(text)
-    return F.when(F.lower(clean).rlike(_DECIMAL), clean.try_cast("double"))
+def decimal(clean: Column) -> Column:
+    """DOUBLE or NULL from stripped text. The pattern keeps out forms only the JVM reads, such as
+    '1.0d'."""
+    return F.when(clean.rlike(_DECIMAL), clean.try_cast("double"))
 
 
-def whole(text: Column, kind: str = "int") -> Column:
-    """Integer of the given type or NULL; '2.0' is not an integer."""
-    clean = stripped(text)
+def whole(clean: Column, kind: str = "int") -> Column:
+    """Integer of the given type or NULL from stripped text; '2.0' is not an integer."""
     return F.when(clean.rlike(_WHOLE), clean.try_cast(kind))
 
 
-def unreadable(text: Column, parsed: Column) -> Column:
+def unreadable(clean: Column, parsed: Column) -> Column:
     """1 where there was text but no value could be read from it."""
-    return (text_or_null(text).isNotNull() & parsed.isNull()).cast("int")
+    return (parsed.isNull() & (clean != "")).cast("int")
 
 
 def day(text: Column) -> Column:
-    """Calendar DATE from yyyy-MM-dd (one-digit month and day allowed) or NULL."""
-    shaped = F.when(text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), text)
-    return F.try_to_date(shaped, "yyyy-M-d")
+    """Calendar DATE from yyyy-MM-dd (one-digit month and day allowed) or NULL.
+
+    The pattern keeps out what a plain cast also takes, such as a year alone.
+    """
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), text.try_cast("date"))
 
 
 def moment(day_text: Column, hhmm: Column) -> Column:

