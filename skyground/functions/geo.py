@@ -95,21 +95,26 @@ class CircleGrid:
             .drop("_cells")
         )
 
-    def touched(self, df: DataFrame, lat: str, lon: str, band: str, cell: str) -> DataFrame:
-        """One copy of each row per cell its circle touches, none twice."""
+    def touched(
+        self, df: DataFrame, lat: str, lon: str, band: str, cell: str, only: str = "true"
+    ) -> DataFrame:
+        """One copy of each row per cell its circle touches, none twice.
+
+        Rows for which ``only`` is false are passed on once, in band -1, which holds no point.
+        """
         reach, sin_reach = f"{self.reach!r}D", f"{self.sin_reach!r}D"
         # a circle around a pole, or one wider than the band has cells, takes the whole band
         whole = f"(cos(radians({lat})) <= {sin_reach} OR _last - _first + 1 >= _cells)"
         end = "_cells - 1" if self.wrap else "_cells"
         half = f"degrees(asin(least({sin_reach} / cos(radians({lat})), 1D))) * {_WIDER}D"
         return (
-            df.selectExpr("*", f"explode(sequence({self._band(f'{lat} - {reach}')},"
-                               f" {self._band(f'{lat} + {reach}')})) AS {band}")
+            df.selectExpr("*", f"explode(if({only}, sequence({self._band(f'{lat} - {reach}')},"
+                               f" {self._band(f'{lat} + {reach}')}), array(-1L))) AS {band}")
             .selectExpr("*", f"{self._cells_in(band)} AS _cells", f"{half} AS _half")
             .selectExpr("*", f"{self._cell_of(f'{lon} - _half', '_cells')} AS _first",
                         f"{self._cell_of(f'{lon} + _half', '_cells')} AS _last")
-            .selectExpr("*", f"explode(sequence(if({whole}, 0, _first),"
-                             f" if({whole}, {end}, _last))) AS _touched")
+            .selectExpr("*", f"explode(if({only}, sequence(if({whole}, 0, _first),"
+                             f" if({whole}, {end}, _last)), array(0L))) AS _touched")
             .selectExpr("*", f"{self._wrapped('_touched', '_cells')} AS {cell}")
             .drop("_cells", "_half", "_first", "_last", "_touched")
         )

@@ -6,6 +6,9 @@ pass over the input: a dominated row still dominates others, so of a chain only
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as V
@@ -52,33 +55,36 @@ def dominated_ids(
 
     crowded = grid.sure(points, "_lat", "_lon", "_sure_band", "_sure_cell").withColumn(
         "_sure_slot", bucket(F.col("_sec"), window_s + 1))
-    leaders = crowded.groupBy(*_SURE).agg(F.max("id").alias("id"))
+    leaders = crowded.groupBy(*_SURE).agg(F.max("id").alias("id"), F.lit(True).alias("_led"))
     # the id is part of the key, so a crowded cell does not gather in one task
-    settled = crowded.select("id", *_SURE).join(leaders, [*_SURE, "id"], "left_anti").select("id")
-    leading = crowded.join(leaders, [*_SURE, "id"], "left_semi").select(
-        "id", "_lat", "_lon", "_sec")
+    marked = crowded.join(leaders, [*_SURE, "id"], "left").selectExpr(
+        "id", "_lat", "_lon", "_sec", "_led IS NOT NULL AS _leads")
 
+    # Leaders go to all cells and slots around them. The others are settled: they only pass
+    # through, each under a key of its own that no point has.
     slot_s = max(3 * window_s, 1)
-    probes = grid.touched(leading, "_lat", "_lon", "_band", "_cell").withColumn(
-        "_slot", F.explode(buckets(F.col("_sec") - window_s, F.col("_sec") + window_s, slot_s)))
+    probes = grid.touched(marked, "_lat", "_lon", "_band", "_cell", only="_leads").withColumns({
+        "_cell": F.expr("if(_leads, _cell, id)"),
+        "_slot": F.explode(F.when(F.col("_leads"), buckets(
+            F.col("_sec") - window_s, F.col("_sec") + window_s, slot_s))
+            .otherwise(F.expr("array(0L)"))),
+    })
     others = grid.home(points, "_lat", "_lon", "_band", "_cell").withColumn(
         "_slot", bucket(F.col("_sec"), slot_s))
     probes, others, on = split_hot(
         probes, others, _CELL,
         right_hot=hot_keys(others, _CELL, rows_per_task), right_deal=["id"])
 
-    a, b = probes.alias("a"), others.alias("b")
-    same_cell = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in on]
-    near = (
-        (F.col("a.id") < F.col("b.id"))
-        & (F.abs(F.col("a._sec") - F.col("b._sec")) <= window_s)
-        & (great_circle_m(F.col("a._lat"), F.col("a._lon"),
-                          F.col("b._lat"), F.col("b._lon")) <= radius_m)
-    )
+    mine = lambda c: F.col(f"p.{c}").outer()
+    near = reduce(and_, [mine(c) == F.col(c) for c in on]) & (mine("id") < F.col("id"))
+    near = near & (F.abs(mine("_sec") - F.col("_sec")) <= window_s)
     if not wrap:
-        near = near & (F.abs(F.col("a._lon") - F.col("b._lon")) <= 180)
-    found = a.join(b, [*same_cell, near]).select(F.col("a.id").alias("id"))
-    return settled.unionByName(found).distinct()
+        near = near & (F.abs(mine("_lon") - F.col("_lon")) <= 180)
+    near = near & (great_circle_m(
+        mine("_lat"), mine("_lon"), F.col("_lat"), F.col("_lon")) <= radius_m)
+    # an existence test: a probe stops at its first match
+    return probes.alias("p").where(~F.col("_leads") | others.where(near).exists()).select(
+        "id").distinct()
 
 
 def proximity_dedup(df: DataFrame, **options) -> DataFrame:
