@@ -60,6 +60,20 @@ def contract_checks(silver: DataFrame, pairs: DataFrame) -> DataFrame:
     return filled.unionByName(left_over).unionByName(ends)
 
 
+def verification_summary(silver: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(item, value)``: rows of both tables, near-duplicates left, score statistics.
+
+    The best pairs that complete the summary are :func:`~.ranking.top_pairs`.
+    """
+    counts = row_counts({"silver_rows": silver, "pair_rows": pairs}).select(
+        F.col("stage").alias("item"), F.col("n").cast("double").alias("value"))
+    left_over = residual_pairs(silver).select(
+        F.lit("residual_pairs").alias("item"), F.col("residual").cast("double").alias("value"))
+    stats = score_stats(pairs)
+    return counts.unionByName(left_over).unionByName(stats.unpivot(
+        [], [F.col(c) for c in stats.columns], "item", "value"))
+
+
 def table_health(tables: dict[str, DataFrame], pairs_name: str) -> DataFrame:
     """Every table non-empty and no score outside [0, 1]: ``(check_name, value, passed)``."""
     sizes = row_counts(tables).select(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.checks import contract_checks, require, table_health
+from ..operators.checks import contract_checks, require, table_health, verification_summary
 from ..operators.correlate import correlate
 from ..operators.proximity import confident, proximity_dedup
-from ..operators.ranking import map_view
+from ..operators.ranking import map_view, top_pairs
 from ..schemas import DETECTIONS, REPORTS
 from ..sources import tables as T
 from ..sources.export import previous_total, run_metadata, write_export
@@ -48,6 +48,13 @@ def run_day(
     }
 
 
+def verify(spark: SparkSession, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Verification summary and the three best pairs."""
+    gold = spark.table(T.qualified(schema, T.CORRELATIONS_GOLD))
+    silver = spark.table(T.qualified(schema, T.DETECTIONS_SILVER))
+    return verification_summary(silver, gold), top_pairs(gold)
+
+
 def check_tables(spark: SparkSession, schema: str) -> DataFrame:
     """Health rows of the four tables."""
     names = (T.DETECTIONS_BRONZE, T.REPORTS_BRONZE, T.DETECTIONS_SILVER, T.CORRELATIONS_GOLD)

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``.
@@ -16,16 +18,18 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="skyground-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="skyground-")
+    return _local_folders[context.applicationId]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: computed once, lineage cut,
-    columns still prunable. Survives the loss of executors."""
+    columns still prunable. Survives the loss of executors; the files are left to the folder's own
+    clean-up."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import as_rows, detections, reports
 from skyground.operators import checks, merge
 from skyground.operators.correlate import correlate
-from skyground.plans import daily
+from skyground.plans import daily, stages
 from skyground.schemas import CORRELATIONS, DETECTIONS, REPORTS
 from skyground.sources import export, tables
 from skyground.sources.landed import write_batch
@@ -118,6 +118,32 @@ def test_view_and_health(spark, lake):
     assert all(r.passed for r in health.collect()) and health.count() == 5
 
 
+def test_verification(spark, lake):
+    summary, best = daily.verify(spark, "lake")
+    values = {r["item"]: r.value for r in summary.collect()}
+    assert (values["silver_rows"], values["pair_rows"], values["residual_pairs"]) == (6, 12, 0)
+    assert 0 < values["score_min"] <= values["score_avg"] <= values["score_max"] <= 1
+    assert best.count() == 3
+
+
+class _Session:
+    """Just enough of a session to ask for its shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder}
+        self.sparkContext = self
+        self.master, self.applicationId = master, f"app-{master}"
+
+
+def test_shared_folder_comes_from_the_cluster():
+    assert stages.shared_folder(_Session("yarn", "hdfs://x/c")) == "hdfs://x/c"
+    assert stages.shared_folder(_Session("local[2]", "/given")) == "/given"
+    own = stages.shared_folder(_Session("local[2]"))
+    assert own and own == stages.shared_folder(_Session("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        stages.shared_folder(_Session("yarn"))
+
+
 def test_export(spark, lake, tmp_path):
     folder = tmp_path / "out"
     daily.export(spark, "lake", str(folder), str(folder / "none.json"))

@@ -353,6 +353,18 @@ FROM silver p JOIN silver q ON p.id < q.id AND abs(p.sec - q.sec) <= 21600
  AND {_metres('p', 'q')} <= 1006.0
 UNION ALL SELECT 'score_min', round(CAST(min(score) AS DOUBLE), 5), min(score) >= 0 FROM pairs
 UNION ALL SELECT 'score_max', round(CAST(max(score) AS DOUBLE), 5), max(score) <= 1 FROM pairs""",
+    "verification_summary": f"""
+SELECT 'silver_rows' AS item, CAST(count(*) AS DOUBLE) AS value FROM silver
+UNION ALL SELECT 'pair_rows', CAST(count(*) AS DOUBLE) FROM pairs
+UNION ALL SELECT 'residual_pairs', CAST(count(DISTINCT p.id) AS DOUBLE)
+FROM silver p JOIN silver q ON p.id < q.id AND abs(p.sec - q.sec) <= 21600
+ AND {_metres('p', 'q')} <= 1006.0
+UNION ALL SELECT 'score_min', round(CAST(min(score) AS DOUBLE), 4) FROM pairs
+UNION ALL SELECT 'score_avg', round(avg(CAST(score AS DOUBLE)), 4) FROM pairs
+UNION ALL SELECT 'score_max', round(CAST(max(score) AS DOUBLE), 4) FROM pairs
+UNION ALL SELECT 'display_min', round(CAST(min(score) AS DOUBLE) * 1000, 4) FROM pairs
+UNION ALL SELECT 'display_avg', round(avg(CAST(score AS DOUBLE)) * 1000, 4) FROM pairs
+UNION ALL SELECT 'display_max', round(CAST(max(score) AS DOUBLE) * 1000, 4) FROM pairs""",
     "table_health": """
 SELECT 'detections_rows' AS check_name, count(*) AS value, count(*) > 0 AS passed FROM detections
 UNION ALL SELECT 'reports_rows', count(*), count(*) > 0 FROM reports

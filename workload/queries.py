@@ -428,6 +428,14 @@ def contract_checks(spark, sf_dir):
     return rows.withColumn("value", F.round("value", 5))
 
 
+@query
+def verification_summary(spark, sf_dir):
+    silver = stored(_silver(spark, sf_dir), "silver")
+    pairs = stored(correlate(silver, X.reports(spark, sf_dir)), "pairs")
+    rows = checks.verification_summary(silver, pairs)
+    return rows.withColumn("value", F.round("value", 4))
+
+
 @query
 def table_health(spark, sf_dir):
     silver = stored(_silver(spark, sf_dir), "silver")
