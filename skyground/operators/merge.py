@@ -54,17 +54,30 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], **op
 
 
 def insert_new(
-    spark: SparkSession, source: DataFrame, table: str, keys: Sequence[str]
+    spark: SparkSession,
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    implied_time: str | None = None,
 ) -> dict[str, int]:
     """Appends the new rows to a table; returns the source and the inserted row counts.
 
     ``source`` should be a stored stage, since it is counted as well as merged. Counts come from
     committed data, so a task that ran twice is not counted twice. Running the merge again inserts
     nothing: the anti join sees the committed rows, and a write that failed has committed none.
+
+    ``implied_time`` names a column that equal keys always share, as when the key is a hash of it.
+    Only the part of the target in the batch's time range is then read, so a daily merge does not
+    scan the history.
     """
     target = spark.table(table)
+    source = source.select(*target.columns)
     before, rows = target.count(), source.count()
-    new_rows(
-        source.select(*target.columns), target, keys, small_source=rows <= SMALL_BATCH_ROWS
-    ).write.insertInto(table)
+    known = target
+    if implied_time is not None:
+        first, last = source.agg(F.min(implied_time), F.max(implied_time)).first()
+        when = F.col(implied_time)
+        known = target.filter(when.isNull() if first is None else
+                              when.between(first, last) | when.isNull())
+    new_rows(source, known, keys, small_source=rows <= SMALL_BATCH_ROWS).write.insertInto(table)
     return {"source": rows, "inserted": spark.table(table).count() - before}

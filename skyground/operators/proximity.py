@@ -88,7 +88,11 @@ def dominated_ids(
 
 
 def proximity_dedup(df: DataFrame, **options) -> DataFrame:
-    """Rows of ``df`` that no higher id dominates; rows without place or time all stay."""
+    """Rows of ``df`` that no higher id dominates; rows without place or time all stay.
+
+    ``df`` is read several times, four of them for its key columns only, so it should be a table
+    or a stored stage rather than the end of a long computation.
+    """
     return df.join(dominated_ids(df, **options), "id", "left_anti")
 
 

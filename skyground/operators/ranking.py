@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import fixed_values as V
-from ..functions.display import date_prefix, one_decimal
+from ..functions.display import date_prefix, score_text
 from ..schemas import MAP_COLUMNS
 from .skew import hot_keys
 
@@ -115,7 +115,7 @@ def leaderboard(view: DataFrame, k: int = 10) -> DataFrame:
     # k rows, so the window over all of them is small
     return top.select(
         F.row_number().over(Window.orderBy(*order)).alias("rank"),
-        one_decimal(F.col("score_display")).alias("score_text"),
+        score_text(F.col("score_display")).alias("score_text"),
         F.col("event_location_full_name").alias("place"),
         date_prefix(F.col("event_datetime").cast("string"), 7).alias("month"),
     )

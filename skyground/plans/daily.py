@@ -23,21 +23,27 @@ def serving_view(spark: SparkSession, schema: str) -> DataFrame:
 
 
 def run_day(
-    spark: SparkSession, schema: str, detections_path: str, reports_path: str
+    spark: SparkSession,
+    schema: str,
+    detections_path: str,
+    reports_path: str,
+    ids_imply_time: bool = False,
 ) -> dict[str, int]:
     """One batch end to end. Each stage is computed once, written, and read back.
 
-    Silver is rebuilt from this batch alone; bronze and gold only grow. Raises
+    Silver is rebuilt from this batch alone; bronze and gold only grow. With ``ids_imply_time``
+    (true of the ids this library makes) merges read only the batch's time range of them. Raises
     :class:`~skyground.operators.checks.CheckFailed` when the result breaks the contract.
     """
     T.ensure_tables(spark, schema)
     detections = read_batch(spark, detections_path, DETECTIONS)
     reports = read_batch(spark, reports_path, REPORTS)
-    in_detections, in_reports = T.merge_bronze(spark, schema, detections, reports)
+    in_detections, in_reports = T.merge_bronze(
+        spark, schema, detections, reports, ids_imply_time)
 
     silver = T.write_silver(spark, schema, proximity_dedup(confident(detections)))
     pairs = stored(correlate(silver, reports), "pairs")
-    gold = T.merge_gold(spark, schema, pairs)
+    gold = T.merge_gold(spark, schema, pairs, ids_imply_time)
 
     serving_view(spark, schema)
     require(contract_checks(silver, spark.table(T.qualified(schema, T.CORRELATIONS_GOLD))))

@@ -36,11 +36,22 @@ def ensure_tables(spark: SparkSession, schema: str, file_format: str = "parquet"
             f"CREATE TABLE IF NOT EXISTS {qualified(schema, table)} ({ddl}) USING {file_format}")
 
 
-def merge_bronze(spark: SparkSession, schema: str, detections: DataFrame, reports: DataFrame):
-    """New rows of a batch into the two bronze tables, keyed by id and by event id."""
+def merge_bronze(
+    spark: SparkSession,
+    schema: str,
+    detections: DataFrame,
+    reports: DataFrame,
+    ids_imply_time: bool = False,
+):
+    """New rows of a batch into the two bronze tables, keyed by id and by event id.
+
+    ``ids_imply_time`` holds for detection ids made by this library. A report may be dated anew
+    under its id, so its table is always compared as a whole.
+    """
     return (
         insert_new(spark, conform(detections, DETECTIONS),
-                   qualified(schema, DETECTIONS_BRONZE), ["id"]),
+                   qualified(schema, DETECTIONS_BRONZE), ["id"],
+                   "acq_datetime" if ids_imply_time else None),
         insert_new(spark, conform(reports, REPORTS),
                    qualified(schema, REPORTS_BRONZE), ["global_event_id"]),
     )
@@ -53,8 +64,11 @@ def write_silver(spark: SparkSession, schema: str, silver: DataFrame) -> DataFra
     return spark.table(table)
 
 
-def merge_gold(spark: SparkSession, schema: str, pairs: DataFrame) -> dict[str, int]:
+def merge_gold(
+    spark: SparkSession, schema: str, pairs: DataFrame, ids_imply_time: bool = False
+) -> dict[str, int]:
     """New pairs into gold with the time they were first seen; known pairs keep their score."""
     stamped = pairs.withColumn("created_at", F.current_timestamp())
     return insert_new(
-        spark, conform(stamped, CORRELATIONS), qualified(schema, CORRELATIONS_GOLD), PAIR_KEY)
+        spark, conform(stamped, CORRELATIONS), qualified(schema, CORRELATIONS_GOLD), PAIR_KEY,
+        "fire_acq_datetime" if ids_imply_time else None)

@@ -56,6 +56,18 @@ def test_a_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
 
 
+def test_merge_of_a_time_range(spark):
+    spark.sql("CREATE TABLE ranged (k BIGINT, t TIMESTAMP) USING parquet")
+    rows = lambda *r: spark.createDataFrame(r, "k bigint, s bigint").selectExpr(
+        "k", "timestamp_seconds(s) AS t")
+    put = lambda df: merge.insert_new(spark, df, "ranged", ["k"], implied_time="t")
+    assert put(rows((1, T0), (2, T0 + 60), (3, None))) == {"source": 3, "inserted": 3}
+    assert put(rows((2, T0 + 60), (3, None), (4, T0 + 90))) == {"source": 3, "inserted": 1}
+    assert put(rows((3, None), (5, None))) == {"source": 2, "inserted": 1}
+    assert put(rows()) == {"source": 0, "inserted": 0}
+    assert put(rows((1, T0), (4, T0 + 90))) == {"source": 2, "inserted": 0}
+
+
 def test_composite_key(spark):
     df = lambda rows: spark.createDataFrame(rows, "a int, b int, v int")
     fresh = merge.new_rows(df([(1, 1, 9), (1, 2, 9), (2, None, 9)]), df([(1, 1, 0), (2, None, 0)]),
@@ -83,7 +95,8 @@ def lake(spark, tmp_path_factory):
     first = daily.run_day(spark, "lake", *one)
     again = daily.run_day(spark, "lake", *one)
     changed = daily.run_day(spark, "lake", *batch(spark, f"{folder}/2", 0, 60.0))
-    more = daily.run_day(spark, "lake", *batch(spark, f"{folder}/3", 1000, 30.0))
+    more = daily.run_day(
+        spark, "lake", *batch(spark, f"{folder}/3", 1000, 30.0), ids_imply_time=True)
     return first, again, changed, more
 
 
