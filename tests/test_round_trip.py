@@ -22,8 +22,9 @@ from workload import fixtures
 @pytest.fixture(scope="module")
 def landed(spark, smallest, tmp_path_factory):
     folder = tmp_path_factory.mktemp("raw")
-    fixtures.raw_detections(spark, smallest).repartition(3).write.option("header", True).csv(
-        f"{folder}/a")
+    fixtures.raw_detections(spark, smallest).repartition(3).write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    ).csv(f"{folder}/a")
     rows = [r.asDict() for r in fixtures.raw_reports(spark, smallest).collect()]
     (folder / "b").mkdir()
     for page in range(0, len(rows), 50):
