@@ -47,7 +47,10 @@ def session(cpus: int) -> SparkSession:
 def crowded(df: DataFrame) -> DataFrame:
     """A third of the rows within 3 km and 12 h of one place."""
     hot = F.col("id") % 3 == 0
-    near = lambda c, at: F.when(hot, F.lit(at) + (F.col(c) - F.floor(c)) * 0.03).otherwise(F.col(c))
+
+    def near(c: str, at: float):
+        return F.when(hot, F.lit(at) + (F.col(c) - F.floor(c)) * 0.03).otherwise(F.col(c))
+
     return df.withColumns({
         "latitude": near("latitude", 48.0), "longitude": near("longitude", 37.0),
         "acq_datetime": F.when(hot, F.timestamp_seconds(

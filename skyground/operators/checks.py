@@ -24,7 +24,8 @@ def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
 
 def removed(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row ``removed``: how many rows a step took away."""
-    marks = [df.agg((F.count(F.lit(1)) * sign).alias("m")) for df, sign in ((before, 1), (after, -1))]
+    marks = [df.agg((F.count(F.lit(1)) * sign).alias("m"))
+             for df, sign in ((before, 1), (after, -1))]
     return marks[0].unionByName(marks[1]).agg(F.sum("m").alias("removed"))
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .skew import hot_keys, split_hot
 
 
-# A batch up to this size is sent to the executors whole: its keys are a few tens of megabytes.
-SMALL_BATCH_ROWS = 1_000_000
+# The keys of a batch are sent to all executors if they take no more than this.
+SMALL_KEYS_BYTES = 32 << 20
+_ROW_BYTES = 16  # beside the key text itself
 
 
 def new_rows(
@@ -72,12 +73,16 @@ def insert_new(
     """
     target = spark.table(table)
     source = source.select(*target.columns)
-    before, rows = target.count(), source.count()
+    before = target.count()
+    key_bytes = " + ".join(f"coalesce(octet_length(CAST(`{k}` AS STRING)), 0)" for k in keys)
+    rows, size = source.agg(
+        F.count(F.lit(1)), F.expr(f"coalesce(sum({key_bytes}), 0)")).first()
+    small = size + rows * _ROW_BYTES <= SMALL_KEYS_BYTES
     known = target
     if implied_time is not None:
         first, last = source.agg(F.min(implied_time), F.max(implied_time)).first()
         when = F.col(implied_time)
         known = target.filter(when.isNull() if first is None else
                               when.between(first, last) | when.isNull())
-    new_rows(source, known, keys, small_source=rows <= SMALL_BATCH_ROWS).write.insertInto(table)
+    new_rows(source, known, keys, small_source=small).write.insertInto(table)
     return {"source": rows, "inserted": spark.table(table).count() - before}

@@ -42,7 +42,8 @@ def hot_keys(
 
 def _dealt(row_columns: Sequence[str], pieces: str) -> Column:
     # never NULL: pieces is at least 1
-    return F.expr(f"coalesce(pmod(xxhash64({', '.join(f'`{c}`' for c in row_columns)}), {pieces}), 0L)")
+    names = ", ".join(f"`{c}`" for c in row_columns)
+    return F.expr(f"coalesce(pmod(xxhash64({names}), {pieces}), 0L)")
 
 
 def split_hot(
@@ -61,11 +62,16 @@ def split_hot(
     key are copied to every piece. The same goes the other way round, and a key hot on both sides
     becomes a matrix of pieces.
     """
+    for key in keys:
+        # equal keys of different types have different hashes, and would get different pieces
+        types = left.schema[key].dataType, right.schema[key].dataType
+        if types[0] != types[1]:
+            raise ValueError(f"join key {key} has types {types[0]} and {types[1]}; cast one side")
     lists = []
     if left_hot is not None:
-        lists.append(left_hot.select("_hash", F.col("_pieces").alias("_lp"), F.lit(1).alias("_rp")))
+        lists.append(left_hot.selectExpr("_hash", "_pieces AS _lp", "1L AS _rp"))
     if right_hot is not None:
-        lists.append(right_hot.select("_hash", F.lit(1).alias("_lp"), F.col("_pieces").alias("_rp")))
+        lists.append(right_hot.selectExpr("_hash", "1L AS _lp", "_pieces AS _rp"))
     hot = lists[0] if len(lists) == 1 else (
         lists[0].unionByName(lists[1]).groupBy("_hash")
         .agg(F.max("_lp").alias("_lp"), F.max("_rp").alias("_rp")))

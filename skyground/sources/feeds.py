@@ -67,7 +67,8 @@ def route_detections(
         sum((F.coalesce(P.unreadable(c(f"_{n}"), c(n)), F.lit(0)) for n in optional), F.lit(0))
         .alias("warnings"),
     ))
-    readable = c("acq_datetime").isNotNull() & c("latitude").isNotNull() & c("longitude").isNotNull()
+    readable = (
+        c("acq_datetime").isNotNull() & c("latitude").isNotNull() & c("longitude").isNotNull())
     reason = (
         F.when(~c("_keep"), "low_conf")
         .when(~readable, "parse_err")

@@ -23,8 +23,8 @@ def test_acquisition_times(spark):
 
 
 def test_days(spark):
-    got = column(spark, ["2024-02-29", "2023-02-29", "2024-1-5", "2024", " 2024-01-05", "x", None],
-                 parsing.day)
+    texts = ["2024-02-29", "2023-02-29", "2024-1-5", "2024", " 2024-01-05", "x", None]
+    got = column(spark, texts, parsing.day)
     assert got == [date(2024, 2, 29), None, date(2024, 1, 5), None, None, None, None]
 
 

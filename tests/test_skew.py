@@ -48,3 +48,9 @@ def test_split_join_has_the_same_rows_and_even_pieces(spark, left_hot, right_hot
     pieces = [r["count"] for r in got.filter("k = 0").groupBy(*on).count().collect()]
     assert len(pieces) == (10 if left_hot else 1) * (3 if right_hot else 1)
     assert max(pieces) < 3 * sum(pieces) / len(pieces)
+
+
+def test_key_types_must_agree(spark):
+    left, right = crowd(spark, 30), crowd(spark, 30).selectExpr("id AS rid", "CAST(k AS INT) AS k")
+    with pytest.raises(ValueError, match="join key k"):
+        split_hot(left, right, ["k"], left_hot=hot_keys(left, ["k"], 5), left_deal=["id"])
