@@ -36,6 +36,7 @@ def dominated_ids(
 
     Work stays linear in the rows of a crowded place:
 
+    0. Exact copies are combined before the first shuffle.
     1. In cells so small that all their rows are neighbours, only the highest id can survive.
        That is a maximum per cell, combined before the shuffle, and settles almost all rows of a
        crowd at once.
@@ -51,7 +52,8 @@ def dominated_ids(
         epoch_s(F.col("acq_datetime")).alias("_sec"),
     ).filter(
         F.col("id").isNotNull() & F.col("_sec").isNotNull()
-        & located(F.col("_lat"), F.col("_lon")))
+        & located(F.col("_lat"), F.col("_lon"))
+    ).distinct()  # combines copies map side; its shuffle is shared by all uses of points below
 
     crowded = grid.sure(points, "_lat", "_lon", "_sure_band", "_sure_cell").withColumn(
         "_sure_slot", bucket(F.col("_sec"), window_s + 1))
@@ -90,8 +92,8 @@ def dominated_ids(
 def proximity_dedup(df: DataFrame, **options) -> DataFrame:
     """Rows of ``df`` that no higher id dominates; rows without place or time all stay.
 
-    ``df`` is read several times, four of them for its key columns only, so it should be a table
-    or a stored stage rather than the end of a long computation.
+    ``df`` is computed twice, once for four columns and once whole, so it should be a table or a
+    stored stage rather than the end of a long computation.
     """
     return df.join(dominated_ids(df, **options), "id", "left_anti")
 

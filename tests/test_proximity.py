@@ -116,6 +116,18 @@ def test_a_third_of_all_rows_in_one_place(spark):
     assert ids(dominated_ids(df)) == expected
 
 
+def test_a_third_of_all_rows_are_copies(spark):
+    """Copies of one row share its fate, and every surviving copy is kept."""
+    points = scattered(10, 400, (39.9, 40.1), (29.9, 30.1), 86_400)
+    gone = set(brute_dominated(points))
+    for fate in (True, False):
+        copied = next(p for p in points if (p[0] in gone) is fate)
+        rows = as_rows(points + [copied] * 200)
+        left = ids(proximity_dedup(detections(spark, rows).repartition(5), rows_per_task=20))
+        expected = [r["id"] for r in rows if r["id"] not in gone]
+        assert left == sorted(expected)
+
+
 def test_properties_of_the_result(spark):
     points = scattered(8, 500, (39.95, 40.05), (29.95, 30.05), 2 * 86_400)
     df = detections(spark, as_rows(points))
@@ -157,3 +169,17 @@ def test_scan_reads_only_four_columns_for_the_ids(spark, tmp_path):
     plan = plan_of(dominated_ids(spark.read.parquet(str(tmp_path / "d"))))
     schemas = {line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema" in line}
     assert schemas and all("note" not in s and "frp" not in s for s in schemas)
+
+
+def test_the_branches_share_one_scan(spark, tmp_path):
+    df = detections(spark, as_rows(scattered(1, 200, (0, 1), (0, 1), 100)))
+    df.write.parquet(str(tmp_path / "d"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = dominated_ids(spark.read.parquet(str(tmp_path / "d")))
+        result.collect()
+        plan = plan_of(result).split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
