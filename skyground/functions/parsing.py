@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .clock import midnight_s
 
@@ -79,3 +79,13 @@ def source_count(text: Column) -> Column:
 def key_hash(*keys: Column) -> Column:
     """Stable signed 64-bit id of a natural key. Carries no order in time."""
     return F.xxhash64(*keys)
+
+
+def settled(parsed: DataFrame) -> DataFrame:
+    """The same rows behind a boundary that later filters cannot be pushed through.
+
+    A filter on parsed values would otherwise be rewritten over the raw text, and parse a
+    coordinate again for each of the box edges it is compared with. A one-row generator is a
+    boundary to that rewriting and stays inside generated code.
+    """
+    return parsed.select(F.inline(F.array(F.struct(*parsed.columns))))

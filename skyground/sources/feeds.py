@@ -24,16 +24,6 @@ def _checked(parsed: Column, text: Column, strict: bool, name: str) -> Column:
         parsed)
 
 
-def _settled(parsed: DataFrame) -> DataFrame:
-    """The same rows behind a boundary that later filters cannot be pushed through.
-
-    A filter on parsed values would otherwise be rewritten over the raw text, and parse a
-    coordinate again for each of the box edges it is compared with. A one-row generator is a
-    boundary to that rewriting and stays inside generated code.
-    """
-    return parsed.select(F.inline(F.array(F.struct(*parsed.columns))))
-
-
 def confident_at_ingest(confidence: Column) -> Column:
     """Keeps blank confidence, unlike the filter before proximity dedup. Not trimmed."""
     return ~F.lower(F.coalesce(confidence, F.lit(""))).isin(*V.LOW_CONFIDENCE)
@@ -54,7 +44,7 @@ def route_detections(
     values = texts.withColumns(
         {n: P.decimal(c(f"_{n}")) for n in decimals}
         | {"type": P.whole(c("_type"), "smallint")})
-    parsed = _settled(values.select(
+    parsed = P.settled(values.select(
         confident_at_ingest(c("confidence")).alias("_keep"),
         P.moment(c("acq_date"), c("acq_time")).alias("acq_datetime"),
         "latitude",
@@ -99,7 +89,7 @@ def route_reports(
         "fatalities": P.whole(c("_fatalities")),
         "event_date": P.day(c("event_date")),
     })
-    parsed = _settled(values.select(
+    parsed = P.settled(values.select(
         c("event_id_cnty").alias("global_event_id"),
         "event_date",
         F.timestamp_seconds(midnight_s(c("event_date"))).alias("event_datetime"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from skyground import fixed_values as V
 from skyground.functions.clock import batch_days, epoch_s
-from skyground.functions.parsing import decimal, key_hash, moment, stripped
+from skyground.functions.parsing import decimal, key_hash, moment, settled, stripped
 from skyground.operators import boxes, checks, exact, merge, ranking, serving
 from skyground.operators.correlate import PAIR_COLUMNS, correlate
 from skyground.operators.counts import counts_running
@@ -313,11 +313,11 @@ def date_chunks(spark, sf_dir):
 def request_list(spark, sf_dir):
     """Every region x product x chunk of the landed days, with its rows and a running total."""
     raw = X.raw_detections(spark, sf_dir)
-    landed = raw.select(
+    landed = settled(raw.select(
         decimal(stripped(F.col("latitude"))).alias("latitude"),
         decimal(stripped(F.col("longitude"))).alias("longitude"), "satellite",
         moment(F.col("acq_date"), F.col("acq_time")).cast("date").alias("d"),
-    ).filter(F.col("d").isNotNull())
+    )).filter(F.col("d").isNotNull())
     days = landed.agg(F.min("d").alias("first_day"), F.max("d").alias("last_day"))
     tasks = requests.request_list(days)
     first = days.select("first_day").scalar()
