@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -12,8 +14,10 @@ def utc_text(ts: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local).cast("string")
 
 
-def export_rows(view: DataFrame, digits: int = 5) -> DataFrame:
-    """The 16 export columns, DOUBLEs rounded half up in decimal."""
+def export_rows(
+    view: DataFrame, digits: int = 5, extra: Sequence[Column] = ()
+) -> DataFrame:
+    """The 16 export columns, DOUBLEs rounded half up in decimal, and any ``extra`` ones."""
     shaped = view.select(
         "map_lat", "map_lon", "event_lat", "event_lon",
         F.col("score_display").cast("double").alias("score_display"),
@@ -25,6 +29,7 @@ def export_rows(view: DataFrame, digits: int = 5) -> DataFrame:
         utc_text(F.col("fire_acq_datetime")).alias("fire_acq_datetime"),
         F.col("distance_m").cast("double").alias("distance_m"),
         F.col("time_delta_h").cast("double").alias("time_delta_h"),
+        *extra,
     )
     return shaped.select([
         F.round(F.col(f.name), digits).alias(f.name)
@@ -33,13 +38,28 @@ def export_rows(view: DataFrame, digits: int = 5) -> DataFrame:
     ])
 
 
-def write_export(view: DataFrame, path: str) -> None:
+def write_export(view: DataFrame, path: str, as_array: bool = False) -> None:
     """JSON lines, best score first across and within files; NULL fields are written.
 
     Sorting is by ranges: no task holds the whole view, and the event id breaks up equal scores.
+    With ``as_array`` the part files, put together in order, are one JSON array.
     """
     ordered = view.orderBy(F.col("score_display").desc(), "acled_event_id")
-    export_rows(ordered).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    if not as_array:
+        export_rows(ordered).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+        return
+    place = F.struct(-F.col("score_display"), F.col("acled_event_id"))
+    ends = view.agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    columns = export_rows(view).columns
+    # the event id tells the first and the last row; the export itself does not have it
+    keyed = export_rows(ordered, extra=[place.alias("_place")])
+    text = F.concat(
+        F.when(F.col("_place") == ends.select("first").scalar(), "[").otherwise(","),
+        F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}),
+        F.when(F.col("_place") == ends.select("last").scalar(), "]").otherwise(""))
+    none = view.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(F.lit("[]").alias("value"))
+    lines = keyed.select(text.alias("value"))
+    none.unionByName(lines).write.mode("overwrite").text(path)
 
 
 def total_in(document: Column) -> Column:

@@ -176,6 +176,26 @@ def test_export(spark, lake, tmp_path):
     assert meta["events_added_last_run"] == 2
 
 
+def test_export_as_one_array(spark, lake, tmp_path):
+    view = stages.stored(daily.serving_view(spark, "lake"), "map").repartition(5)
+    for name, rows in (("all", view), ("one", view.limit(1)), ("none", view.limit(0))):
+        rows = stages.stored(rows, name)
+        before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            export.write_export(rows, f"{tmp_path}/{name}", as_array=True)
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        parts = sorted((tmp_path / name).glob("part-*"))
+        got = json.loads("".join(part.read_text() for part in parts))
+        assert len(got) == rows.count()
+        scores = [row["score_display"] for row in got]
+        assert scores == sorted(scores, reverse=True)
+        assert all(len(row) == 16 for row in got)
+        if name == "all":
+            assert sum(1 for part in parts if part.read_text()) > 1
+
+
 @pytest.mark.parametrize("text,total", [
     ('{"total_events": 7}', 7), ('{"other": 1}', 0), ("broken {", 0), ("", 0),
     ('{"total_events": "x"}', 0)])
