@@ -89,6 +89,24 @@ def test_equals_brute_force(spark, lat, lon, rows_per_task):
     assert pairs == brute_pairs(fires, events)
 
 
+def test_empty_sides(spark):
+    d, r = detections(spark, as_rows([(1, 40, 30, T0)])), reports(spark, as_rows([(2, 40, 30, T0)]))
+    assert correlate(d, r).count() == 1
+    assert correlate(d.limit(0), r).count() == 0
+    assert correlate(d, r.limit(0)).count() == 0
+
+
+def test_crowds_are_looked_for_in_a_superset(spark):
+    """Pieces come from the given frame; pairs only from the detections."""
+    fires = [(i, 40.0, 30.0, T0) for i in range(60)]
+    events = [(100 + i, 40.0, 30.0, T0) for i in range(5)]
+    some = detections(spark, as_rows(fires[:20]))
+    got = correlate(some, reports(spark, as_rows(events)), rows_per_task=10,
+                    crowds_from=detections(spark, as_rows(fires)))
+    assert got.count() == 100
+    assert got.select("firms_detection_id", "acled_event_id").distinct().count() == 100
+
+
 def test_crowds_on_both_sides(spark):
     """A third of both feeds at one spot; every pair comes out once."""
     fires = crowd(3, 400, 0, (20, 50), (20, 50)) + [(1000 + i, 40.0, 30.0, T0) for i in range(200)]

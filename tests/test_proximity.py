@@ -146,6 +146,15 @@ def test_other_radii(spark):
         points, 2_000_000.0, 600)
 
 
+def test_empty_and_placeless_inputs(spark):
+    nowhere = [dict(id=i, latitude=None, longitude=None, sec=T0) for i in range(3)]
+    for rows, left in ((nowhere, [0, 1, 2]), (as_rows([(4, 40, 30, T0)]), [4])):
+        assert survivors(spark, rows) == left
+    empty = detections(spark, nowhere).limit(0)
+    assert ids(proximity_dedup(empty)) == []
+    assert residual_pairs(empty).first().residual == 0
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
