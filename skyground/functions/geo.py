@@ -62,6 +62,8 @@ class CircleGrid:
     """
 
     def __init__(self, radius_m: float, wrap: bool = True, span: int = 3):
+        if radius_m <= 0:
+            raise ValueError("the radius must be positive")
         angle = min(radius_m / EARTH_RADIUS_M, math.pi / 2)
         self.wrap = wrap
         self.reach = math.degrees(radius_m / EARTH_RADIUS_M) * _WIDER

@@ -22,6 +22,13 @@ def serving_view(spark: SparkSession, schema: str) -> DataFrame:
     return view
 
 
+def publish_map(spark: SparkSession, schema: str) -> DataFrame:
+    """The map view as a table of the schema, for readers in other sessions; replaced each time."""
+    table = T.qualified(schema, T.MAP_VIEW)
+    serving_view(spark, schema).write.mode("overwrite").saveAsTable(table)
+    return spark.table(table)
+
+
 def run_day(
     spark: SparkSession,
     schema: str,

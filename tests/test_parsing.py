@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
 
 import pytest
@@ -93,3 +94,43 @@ def test_batch_days():
         clock.explicit_days(start=today)
     with pytest.raises(ValueError):
         clock.explicit_days(today, date(2026, 7, 1))
+
+
+def _attempt(function, *args):
+    try:
+        return function(*args)
+    except (ValueError, OverflowError):
+        return None
+
+
+def _random_texts(alphabet, longest, n=4000):
+    rnd = random.Random(11)
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(longest + 1)))
+            for _ in range(n)]
+
+
+def test_numbers_parse_as_plain_python_numbers(spark):
+    texts = _random_texts(" +-..0123456789eE\tindfax", 6)
+    got = column(spark, texts, lambda c: parsing.decimal(parsing.stripped(c)))
+    assert [repr(x) for x in got] == [repr(_attempt(float, t)) for t in texts]
+    got = column(spark, texts, lambda c: parsing.whole(parsing.stripped(c)))
+    assert got == [_attempt(int, t) for t in texts]
+
+
+def test_times_parse_as_padded_clock_times(spark):
+    texts = _random_texts("0123459a", 5)
+    got = column(spark, texts, lambda c: parsing.moment(F.lit("2024-01-31"), c))
+
+    def clock_time(text):
+        padded = text.zfill(4)
+        return datetime.strptime(f"2024-01-31 {padded[:2]}:{padded[2:]}", "%Y-%m-%d %H:%M")
+
+    assert got == [_attempt(clock_time, t) for t in texts]
+
+
+def test_days_parse_as_calendar_days(spark):
+    texts = _random_texts("0122-", 10) + [
+        f"{y}-{m:02d}-{d}" for y in (2023, 2024) for m in range(14) for d in (0, 1, 29, 30, 31, 32)]
+    got = column(spark, texts, parsing.day)
+    expected = [_attempt(lambda t: datetime.strptime(t, "%Y-%m-%d").date(), t) for t in texts]
+    assert got == expected

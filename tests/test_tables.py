@@ -9,7 +9,7 @@ from helpers import as_rows, detections, reports
 from skyground.operators import checks, merge
 from skyground.operators.correlate import correlate
 from skyground.plans import daily, stages
-from skyground.schemas import CORRELATIONS, DETECTIONS, REPORTS
+from skyground.schemas import CORRELATIONS, DETECTIONS, MAP_COLUMNS, REPORTS
 from skyground.sources import export, tables
 from skyground.sources.landed import write_batch
 
@@ -127,6 +127,9 @@ def test_first_score_stays_and_silver_is_the_last_batch(spark, lake):
 def test_view_and_health(spark, lake):
     daily.serving_view(spark, "lake")
     assert spark.sql("SELECT count(*) AS n FROM gold_fire_event_map").first().n == 12
+    for _ in range(2):
+        assert daily.publish_map(spark, "lake").count() == 12
+    assert spark.sql("SELECT * FROM lake.gold_fire_event_map").columns == list(MAP_COLUMNS)
     health = daily.check_tables(spark, "lake")
     assert all(r.passed for r in health.collect()) and health.count() == 5
 
