@@ -25,14 +25,15 @@ def confident(df: DataFrame, column: str = "confidence") -> DataFrame:
     return df.filter(~F.lower(F.col(column)).isin(*V.LOW_CONFIDENCE))
 
 
-def dominated_ids(
+def _dominated(
     df: DataFrame,
     radius_m: float = V.DEDUP_RADIUS_M,
     window_s: int = V.DEDUP_WINDOW_S,
     wrap: bool = True,
     rows_per_task: int = 1_000_000,
 ) -> DataFrame:
-    """Distinct ids of the dominated rows of ``df(id, latitude, longitude, acq_datetime)``.
+    """Ids of the dominated rows of ``df(id, latitude, longitude, acq_datetime)``; an id comes once
+    or a few times.
 
     Work stays linear in the rows of a crowded place:
 
@@ -85,8 +86,13 @@ def dominated_ids(
     near = near & (great_circle_m(
         mine("_lat"), mine("_lon"), F.col("_lat"), F.col("_lon")) <= radius_m)
     # an existence test: a probe stops at its first match
-    return probes.alias("p").where(~F.col("_leads") | others.where(near).exists()).select(
-        "id").distinct()
+    return probes.alias("p").where(~F.col("_leads") | others.where(near).exists()).select("id")
+
+
+def dominated_ids(df: DataFrame, **options) -> DataFrame:
+    """Distinct ids of the rows that a higher id dominates. Options are ``radius_m``,
+    ``window_s``, ``wrap`` and ``rows_per_task``."""
+    return _dominated(df, **options).distinct()
 
 
 def proximity_dedup(df: DataFrame, **options) -> DataFrame:
@@ -95,7 +101,9 @@ def proximity_dedup(df: DataFrame, **options) -> DataFrame:
     ``df`` is computed twice, once for four columns and once whole, so it should be a table or a
     stored stage rather than the end of a long computation.
     """
-    return df.join(dominated_ids(df, **options), "id", "left_anti")
+    # Repeated ids do no harm here. With both sides straight from their shuffle, adaptive execution
+    # can split an id that very many copies share.
+    return df.join(_dominated(df, **options), "id", "left_anti")
 
 
 def residual_pairs(df: DataFrame, **options) -> DataFrame:

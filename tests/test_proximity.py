@@ -128,6 +128,33 @@ def test_a_third_of_all_rows_are_copies(spark):
         assert left == sorted(expected)
 
 
+def test_copies_are_split_in_the_final_join(spark, tmp_path):
+    """What id and content cannot tell apart, adaptive execution splits by map output."""
+    points = scattered(12, 300, (45.0, 45.1), (45.0, 45.1), 86_400)
+    points += [(5_000, 40.0, 30.0, T0)] * 20_000
+    detections(spark, as_rows(points)).repartition(8).write.parquet(str(tmp_path / "d"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200B",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200B",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100B",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        kept = proximity_dedup(spark.read.parquet(str(tmp_path / "d")))
+        assert kept.filter("id = 5000").count() == 20_000
+        rows = kept.collect()
+        plan = plan_of(kept)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(rows) > 20_000
+    assert "SortMergeJoin(skew=true)" in plan.split("Initial Plan")[0]
+
+
 def test_properties_of_the_result(spark):
     points = scattered(8, 500, (39.95, 40.05), (29.95, 30.05), 2 * 86_400)
     df = detections(spark, as_rows(points))
