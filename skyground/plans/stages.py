@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``.
-
-    Only a local session without the setting gets a folder of its own.
-    """
+    """The folder all executors see: ``spark.checkpoint.dir``, or, where that is unset, a folder of
+    the warehouse. The rule is the same for every master, and nothing machine-local is used."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="skyground-")
-    return _local_folders[context.applicationId]
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
