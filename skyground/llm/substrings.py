@@ -5,7 +5,7 @@ one row per word over the network. Instead
 
 1. every window is represented by its anchor, the sequence of ``ANCHOR`` words in it with the least
    hash. Equal windows have equal anchors, and neighbouring windows mostly share one, so a document
-   has one anchor for about twenty words. Each task counts the documents of its anchors in count-min
+   has one anchor for about ten words. Each task counts the documents of its anchors in count-min
    sketches; the sketches are merged block by block.
 2. The merged sketch only overestimates. Windows whose anchor it counts once have no equal in
    another document; all others are grouped exactly, by 128-bit hashes of their words.
@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame, functions as F
 from ..plans.stages import stored
 from .text import pieces
 
-WINDOW, ANCHOR = 50, 10
+WINDOW, ANCHOR = 50, 32
 #: The sketch has ``_ROWS`` rows of a power of two counters (one byte: 0, 1 or 2), four for each
 #: anchor that the input's size lets expect, but at most 2**26, so that the merged sketch, with two
 #: bits a counter, is at most 32 MB to broadcast. A fuller sketch lets more windows through to the
 #: exact grouping; the result is the same.
 _ROWS, _LEAST_BITS, _MOST_BITS, _BLOCK = 2, 16, 26, 1 << 16
+#: Ids of copies that may be broadcast: 16 MB.
+_LISTED_IDS = 1 << 21
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -248,21 +250,26 @@ def removals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     words. Rows of one id never remove from each other; rows without an id come after all others
     and do not remove from each other. Empty tables give empty results.
     """
-    rank = "struct(doc_id IS NULL AS no_id, doc_id) AS rank"
+    # rows without an id come last
+    rank = "coalesce(cast(doc_id AS bigint), 9223372036854775807L) AS rank"
     rows = stored(_summaries(docs).selectExpr("*", rank), "substring-words")
     long_enough = rows.filter(f"n_words >= {window}")
     leasts = long_enough.groupBy("sha256").agg(F.min("rank").alias("least"))
     ranked = stored(rows.join(leasts, "sha256", "left").selectExpr(
         "*", "coalesce(least < rank, false) AS copy"), "substring-ranked")
     # ids that only have copies need not be searched; a repeated id with another text stays in
-    copied = ranked.groupBy("doc_id").agg(F.expr("bool_and(copy)").alias("all_copies")).filter(
-        "all_copies").select("doc_id")
+    copied = stored(ranked.groupBy("doc_id").agg(
+        F.expr("bool_and(copy)").alias("all_copies")).filter("all_copies").select("doc_id"),
+        "substring-copies")
+    # a list of bounded size goes to the texts; a longer one meets them in a shuffle
+    if copied.count() <= _LISTED_IDS:
+        copied = F.broadcast(copied)
     firsts = docs.select("doc_id", "text").alias("d").join(
         copied.alias("c"), F.expr("d.doc_id <=> c.doc_id"), "left_anti")
     n_words = ranked.filter("NOT copy").agg(F.sum("n_words")).first()[0] or 0
     expected = 2 * n_words // (window - anchor + 2)
     bits = min(_MOST_BITS, max(_LEAST_BITS, (4 * expected).bit_length()))
-    often = _merged(_sketches(docs, bits, window, anchor), bits)
+    often = _merged(_sketches(firsts, bits, window, anchor), bits)
     suspects = stored(_suspects(firsts, often, bits, window, anchor).withColumn(
         "text_no", F.monotonically_increasing_id()), "substring-suspects")
     windows = suspects.selectExpr("text_no", rank, "explode(windows) AS w").selectExpr(
