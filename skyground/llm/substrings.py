@@ -29,10 +29,10 @@ from .text import pieces
 
 WINDOW, ANCHOR = 50, 32
 #: The sketch has ``_ROWS`` rows of a power of two counters (one byte: 0, 1 or 2), four for each
-#: anchor that the input's size lets expect, but at most 2**26, so that the merged sketch, with two
-#: bits a counter, is at most 32 MB to broadcast. A fuller sketch lets more windows through to the
+#: anchor that the input's size lets expect, but at most 2**26, so that the merged sketch, with
+#: one bit a counter left, is 24 MB to broadcast. A fuller sketch lets more windows through to the
 #: exact grouping; the result is the same.
-_ROWS, _LEAST_BITS, _MOST_BITS, _BLOCK = 2, 16, 26, 1 << 16
+_ROWS, _LEAST_BITS, _MOST_BITS, _BLOCK = 3, 16, 26, 1 << 16
 #: Ids of copies that may be broadcast: 16 MB.
 _LISTED_IDS = 1 << 21
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -82,7 +82,8 @@ def _cells(values: np.ndarray, bits: int) -> list[np.ndarray]:
     spread ^= spread >> np.uint64(33)
     low = spread & np.uint64((1 << bits) - 1)
     high = (spread * np.uint64(0xC4CEB9FE1A85EC53)) >> np.uint64(64 - bits)
-    return [low.astype(np.int64), high.astype(np.int64)]
+    other = (spread * np.uint64(0x165667B19E3779F9)) >> np.uint64(64 - bits)
+    return [cells.astype(np.int64) for cells in (low, high, other)]
 
 
 def _sketches(firsts: DataFrame, bits: int, window: int, size: int) -> DataFrame:
@@ -137,7 +138,7 @@ def _merged(sketches: DataFrame, bits: int) -> list[np.ndarray]:
     width = min(_BLOCK, 1 << bits)
     often = [np.zeros((1 << bits) // 8, dtype=np.uint8) for _ in range(_ROWS)]
     blocks = (1 << bits) // width
-    # the size of the sketch bounds what comes here: at most 16 MB
+    # the size of the sketch bounds what comes here: at most 24 MB
     for block, packed in sketches.repartition("block").mapInArrow(
             merge, "block bigint, often binary").collect():
         row, at = divmod(block, blocks)
