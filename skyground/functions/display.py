@@ -14,8 +14,22 @@ def date_prefix(text: Column, length: int = 10) -> Column:
 
 
 def one_decimal(number: Column) -> Column:
-    """One digit after the point; NULL stays NULL."""
-    return F.when(number.isNotNull(), F.format_string("%.1f", number.cast("double")))
+    """One digit after the point, rounded on the exact binary value (ties up, away from zero for
+    negative numbers); NULL stays NULL.
+
+    Ten times the number is taken as a rounded product and its exact error (by splitting the number
+    into two halves of its digits). Only where the product ends in one half does the error decide.
+    """
+    size = F.abs(number.cast("double"))
+    times = size * 10
+    high = size * 134217729.0 - (size * 134217729.0 - size)
+    error = (high * 10 - times) + (size - high) * 10
+    part = times - F.floor(times)
+    up = (part > 0.5) | ((part == 0.5) & (error >= 0))
+    tenths = F.floor(times) + F.when(up, 1).otherwise(0)
+    sign = F.when(number.cast("double") < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.when(number.isNotNull(), F.concat(
+        sign, F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string")))
 
 
 def score_text(score: Column) -> Column:

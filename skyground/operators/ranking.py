@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import fixed_values as V
 from ..functions.display import date_prefix, score_text
+from ..plans.stages import stored
 from ..schemas import MAP_COLUMNS
 from .skew import hot_keys
 
@@ -51,6 +52,8 @@ def ordinal_within(
         .groupBy("_hash")
         .agg(F.percentile_approx(order, shares, F.lit(8 * pieces)).alias("_cuts"))
     )
+    # the cuts number the rows and shift them; written once, both see the same ones
+    cuts = stored(cuts, "cuts")
     ranged = hashed.join(F.broadcast(cuts), "_hash", "left").withColumn(
         "_piece", F.coalesce(
             F.size(F.filter("_cuts", lambda cut: cut < F.col(order))), F.lit(0)))
@@ -84,9 +87,10 @@ def map_view(
     The longitude step grows by a tenth per report, which shears the lattice; ``grid`` gives
     straight columns of ten instead.
     """
+    # one row a report, written once: numbering reads it several times, the pairs only here
+    best = stored(best_per_report(pairs, min_score), "best")
     placed = ordinal_within(
-        best_per_report(pairs, min_score), ["event_lat", "event_lon"], "acled_event_id",
-        "_ordinal", rows_per_task)
+        best, ["event_lat", "event_lon"], "acled_event_id", "_ordinal", rows_per_task)
     row = (F.col("_ordinal") % 10).cast("double")
     column = F.col("_ordinal").cast("double") / 10
     if grid:

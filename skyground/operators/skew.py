@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..plans.stages import stored
+
 # Hot keys are looked for in 64 hash classes with at most 256 each: 16,384 keys of 16 bytes, so the
 # broadcast list stays under 1 MB whatever the size of the data.
 _CLASSES = 64
@@ -75,6 +77,9 @@ def split_hot(
     hot = lists[0] if len(lists) == 1 else (
         lists[0].unionByName(lists[1]).groupBy("_hash")
         .agg(F.max("_lp").alias("_lp"), F.max("_rp").alias("_rp")))
+    # merging sketches in another order can give other counts: the list is written once, so that
+    # both sides read the same one
+    hot = stored(hot, "hot-keys")
 
     def tagged(df: DataFrame) -> DataFrame:
         # at most 16,384 rows per list

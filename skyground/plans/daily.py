@@ -52,7 +52,7 @@ def run_day(
     pairs = stored(correlate(silver, reports), "pairs")
     gold = T.merge_gold(spark, schema, pairs, ids_imply_time)
 
-    serving_view(spark, schema)
+    publish_map(spark, schema)
     require(contract_checks(silver, spark.table(T.qualified(schema, T.CORRELATIONS_GOLD))))
     return {
         "detections": in_detections["source"], "new_detections": in_detections["inserted"],
@@ -75,10 +75,12 @@ def check_tables(spark: SparkSession, schema: str) -> DataFrame:
         {n: spark.table(T.qualified(schema, n)) for n in names}, T.CORRELATIONS_GOLD)
 
 
-def export(spark: SparkSession, schema: str, folder: str, previous: str) -> None:
-    """Map view and metadata as JSON under ``folder``; ``previous`` is the last run's metadata."""
+def export(spark: SparkSession, schema: str, folder: str, previous: str,
+           as_array: bool = True) -> None:
+    """Map view and metadata as JSON under ``folder``; ``previous`` is the last run's metadata. The
+    part files of the map, put together in order, are one array; JSON lines without ``as_array``."""
     view = stored(serving_view(spark, schema), "map")
     metadata = run_metadata(view, previous_total(spark, previous))
-    write_export(view, f"{folder}/events")
+    write_export(view, f"{folder}/events", as_array)
     # one row
     metadata.coalesce(1).write.mode("overwrite").json(f"{folder}/metadata")

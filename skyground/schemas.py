@@ -56,9 +56,20 @@ RAW_REPORTS = T.StructType([T.StructField(n, T.StringType()) for n in (
 RAW_REPORT_PAGE = T.StructType([T.StructField("data", T.ArrayType(RAW_REPORTS))])
 
 
-def conform(df, schema: T.StructType):
-    """Columns of ``schema`` in its order and types; absent columns become NULL."""
+#: Columns that a batch need not have; the tables fill them.
+STAMPS = ("ingested_at", "created_at")
+
+
+def conform(df, schema: T.StructType, absent=None):
+    """Columns of ``schema`` in its order and types; missing ones become NULL.
+
+    Rows that come from outside name the columns they may lack in ``absent``; any other missing one
+    is an error then.
+    """
     have = set(df.columns)
+    missing = [f.name for f in schema.fields if f.name not in have]
+    if absent is not None and (missing := [n for n in missing if n not in absent]):
+        raise ValueError(f"missing columns: {', '.join(missing)}")
     return df.selectExpr(*[
         f"CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()})"
         f" AS `{f.name}`"

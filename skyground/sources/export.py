@@ -81,13 +81,14 @@ def previous_total(spark: SparkSession, path: str) -> DataFrame:
 
 def run_metadata(view: DataFrame, previous: DataFrame) -> DataFrame:
     """``last_run_utc, total_events, events_added_last_run``; ``previous`` has one ``total``."""
+    now_utc = utc_text(F.current_timestamp())
     now = view.agg(F.count(F.lit(1)).alias("now")).select("now", F.lit(0).alias("before"))
     then = previous.select(F.lit(0).alias("now"), F.col("total").alias("before"))
     return now.unionByName(then).agg(
         F.sum("now").alias("now"), F.sum("before").alias("before")
     ).select(
-        F.concat(F.substring(utc_text(F.current_timestamp()), 1, 19),
-                 F.lit("+00:00")).alias("last_run_utc"),
+        F.concat_ws("T", F.substring(now_utc, 1, 10), F.concat(
+            F.substring(now_utc, 12, 8), F.lit("+00:00"))).alias("last_run_utc"),
         F.col("now").alias("total_events"),
         (F.col("now") - F.col("before")).alias("events_added_last_run"),
     )

@@ -6,29 +6,41 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..schemas import RAW_DETECTIONS, RAW_REPORT_PAGE, conform
+from ..schemas import RAW_DETECTIONS, RAW_REPORT_PAGE, STAMPS, conform
 
 
 def read_detection_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """CSV files with a header, every field text. All chunks and regions in one read.
 
-    Columns are taken by header name, missing ones are NULL. Files of one read share a header (a
-    different one is an error, not a silent shift); read other products apart and union them.
+    Columns are taken by header name; those a product does not have are NULL. Files are read
+    together with those of the same header, since products differ in theirs. Only first lines are
+    looked at for that, and one row for each file and header comes to the driver.
     """
-    raw = spark.read.option("header", True).option("enforceSchema", False).option(
-        "mode", "PERMISSIVE").csv(paths)
-    return conform(raw, RAW_DETECTIONS)
+    first = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("line"), "value").filter("at = 0")
+    headers = first.groupBy("path").agg(F.min_by("value", "line").alias("header")).groupBy(
+        "header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    found = None
+    for row in headers.orderBy("header").collect():
+        raw = spark.read.option("header", True).option("enforceSchema", False).option(
+            "mode", "PERMISSIVE").csv(row.paths)
+        rows = conform(raw, RAW_DETECTIONS)
+        found = rows if found is None else found.unionByName(rows)
+    return spark.createDataFrame([], RAW_DETECTIONS) if found is None else found
 
 
 def read_report_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """JSON pages ``{"data": [...]}``; a page without ``data`` has no rows."""
-    pages = spark.read.schema(RAW_REPORT_PAGE).option("multiLine", True).json(paths)
+    """JSON pages ``{"data": [...]}``; a page without ``data`` has no rows. A page that is no JSON,
+    such as one cut off or an error page, fails the read."""
+    pages = spark.read.schema(RAW_REPORT_PAGE).option("multiLine", True).option(
+        "mode", "FAILFAST").json(paths)
     return pages.select(F.explode("data").alias("r")).select("r.*")
 
 
 def read_batch(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One landed Parquet batch, in the table's types whatever the writer's."""
-    return conform(spark.read.parquet(path), schema)
+    return conform(spark.read.parquet(path), schema, absent=STAMPS)
 
 
 def write_batch(df: DataFrame, path: str, schema: T.StructType) -> None:
@@ -38,6 +50,6 @@ def write_batch(df: DataFrame, path: str, schema: T.StructType) -> None:
     before = spark.conf.get(setting)
     spark.conf.set(setting, "TIMESTAMP_MICROS")
     try:
-        conform(df, schema).write.mode("overwrite").parquet(path)
+        conform(df, schema, absent=STAMPS).write.mode("overwrite").parquet(path)
     finally:
         spark.conf.set(setting, before)

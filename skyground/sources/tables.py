@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.merge import insert_new
-from ..schemas import CORRELATIONS, DETECTIONS, REPORTS, conform
+from ..schemas import CORRELATIONS, DETECTIONS, REPORTS, STAMPS, conform
 
 # Table names
 DETECTIONS_BRONZE = "firms_detections"
@@ -49,10 +49,10 @@ def merge_bronze(
     under its id, so its table is always compared as a whole.
     """
     return (
-        insert_new(spark, conform(detections, DETECTIONS),
+        insert_new(spark, conform(detections, DETECTIONS, STAMPS),
                    qualified(schema, DETECTIONS_BRONZE), ["id"],
                    "acq_datetime" if ids_imply_time else None),
-        insert_new(spark, conform(reports, REPORTS),
+        insert_new(spark, conform(reports, REPORTS, STAMPS),
                    qualified(schema, REPORTS_BRONZE), ["global_event_id"]),
     )
 
@@ -60,7 +60,7 @@ def merge_bronze(
 def write_silver(spark: SparkSession, schema: str, silver: DataFrame) -> DataFrame:
     """Replaces silver in the table's types and returns it read back, with its lineage cut."""
     table = qualified(schema, DETECTIONS_SILVER)
-    conform(silver, DETECTIONS).write.mode("overwrite").insertInto(table, overwrite=True)
+    conform(silver, DETECTIONS, STAMPS).write.mode("overwrite").insertInto(table, overwrite=True)
     return spark.table(table)
 
 
@@ -70,5 +70,5 @@ def merge_gold(
     """New pairs into gold with the time they were first seen; known pairs keep their score."""
     stamped = pairs.withColumn("created_at", F.current_timestamp())
     return insert_new(
-        spark, conform(stamped, CORRELATIONS), qualified(schema, CORRELATIONS_GOLD), PAIR_KEY,
+        spark, conform(stamped, CORRELATIONS, STAMPS), qualified(schema, CORRELATIONS_GOLD), PAIR_KEY,
         "fire_acq_datetime" if ids_imply_time else None)

@@ -73,8 +73,11 @@ FROM {name}_placed""",
 
 
 def _one_decimal(number: str) -> str:
-    """Ties go up, as the page shows them; printf alone would round them to even."""
-    return f"printf('%.1f', floor({number} * 10 + CAST(0.5 AS DOUBLE)) / 10)"
+    """printf rounds the exact binary value; only exact ties (odd quarters) it sends to even, where
+    the page goes up."""
+    tie = f"{number} * 4 = floor({number} * 4) AND CAST(floor({number} * 4) AS BIGINT) % 2 = 1"
+    up = f"printf('%.1f', floor({number} * 10 + CAST(0.5 AS DOUBLE)) / 10)"
+    return f"CASE WHEN {tie} THEN {up} ELSE printf('%.1f', {number}) END"
 
 
 def _in_boxes(lat: str, lon: str) -> str:
@@ -211,10 +214,10 @@ SELECT round(CAST(score AS DOUBLE), 6) AS score, round(CAST(distance_m AS DOUBLE
  event_sub_event_type
 FROM (SELECT * FROM pairs ORDER BY pairs.score DESC, firms_detection_id, acled_event_id LIMIT 3)""",
     "leaderboard": f"""
-SELECT CAST(row_number() OVER (ORDER BY score_display DESC, acled_event_id) AS INT) AS rank,
- {_one_decimal('score_display')} AS score_text, event_location_full_name AS place,
+SELECT CAST(row_number() OVER (ORDER BY round(score_display, 5) DESC, acled_event_id) AS INT) AS rank,
+ {_one_decimal('round(score_display, 5)')} AS score_text, event_location_full_name AS place,
  left(event_text, 7) AS month
-FROM (SELECT * FROM map ORDER BY score_display DESC, acled_event_id LIMIT 10)""",
+FROM (SELECT * FROM map ORDER BY round(score_display, 5) DESC, acled_event_id LIMIT 10)""",
     "export_rows": """
 SELECT round(map_lat, 5) AS map_lat, round(map_lon, 5) AS map_lon,
  round(event_lat, 5) AS event_lat, round(event_lon, 5) AS event_lon,
@@ -225,7 +228,7 @@ SELECT round(map_lat, 5) AS map_lat, round(map_lon, 5) AS map_lon,
  event_text AS event_datetime, fire_text AS fire_acq_datetime,
  round(round(CAST(distance_m AS DOUBLE), 5), 3) AS distance_m,
  round(CAST(time_delta_h AS DOUBLE), 5) AS time_delta_h FROM map""",
-    "run_metadata": f"SELECT count(*) AS total_events,"
+    "run_metadata": f"SELECT true AS is_iso, count(*) AS total_events,"
                     f" count(*) FILTER (event_s >= {_DAY_16}) AS events_added_last_run FROM map",
     "visible_events": """
 SELECT round(map_lat, 5) AS map_lat, round(map_lon, 5) AS map_lon, event_location_full_name,
@@ -241,15 +244,15 @@ FROM (SELECT min(left(event_text, 10)) AS first_date, max(left(event_text, 10))
  FROM map)""",
     "marker_style": """
 SELECT acled_event_id, CASE WHEN fire_confidence = 'h' THEN '#c0392b' ELSE '#d68910' END AS colour,
- round(greatest(6, least(6 + sqrt(coalesce(nullif(score_display, 0), 2)) * CAST(1.8 AS DOUBLE),
+ round(greatest(6, least(6 + sqrt(coalesce(nullif(round(score_display, 5), 0), 2)) * CAST(1.8 AS DOUBLE),
   22)), 4) AS radius FROM map""",
     "popup_text": f"""
-SELECT acled_event_id, {_one_decimal('score_display')} AS score_text,
+SELECT acled_event_id, {_one_decimal('round(score_display, 5)')} AS score_text,
  CASE WHEN fire_confidence = 'h' THEN 'High confidence' ELSE 'Nominal' END AS confidence_text,
- concat('FRP ', {_one_decimal('CAST(fire_frp AS DOUBLE)')}, ' MW') AS frp_text,
+ concat('FRP ', {_one_decimal('round(CAST(fire_frp AS DOUBLE), 5)')}, ' MW') AS frp_text,
  concat(coalesce(CAST(event_num_sources AS VARCHAR), 'null'), ' source',
   CASE WHEN event_num_sources > 1 THEN 's' ELSE '' END) AS sources_text,
- concat({_one_decimal('CAST(distance_m AS DOUBLE) / 1000')}, ' km apart') AS distance_text,
+ concat({_one_decimal('(round(CAST(distance_m AS DOUBLE), 5) / 1000)')}, ' km apart') AS distance_text,
  array_to_string(list_filter(list_transform(string_split(coalesce(event_source, ''), ';'),
   lambda x: trim(x)), lambda x: x <> ''), ' · ') AS source_list,
  left(event_text, 10) AS date_text FROM map""",

@@ -75,6 +75,11 @@ def _view(spark: SparkSession, sf_dir: str, dense: bool = False, grid: bool = Fa
     return ranking.map_view(_gold(spark, sf_dir, dense), grid=grid)
 
 
+def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the page reads, with the event id."""
+    return export.export_rows(_view(spark, sf_dir), extra=[F.col("acled_event_id")])
+
+
 # Proximity dedup
 
 @query
@@ -147,7 +152,7 @@ def top_pairs(spark, sf_dir):
 
 @query
 def leaderboard(spark, sf_dir):
-    return ranking.leaderboard(_view(spark, sf_dir))
+    return ranking.leaderboard(_exported(spark, sf_dir))
 
 
 @query
@@ -169,7 +174,10 @@ def run_metadata(spark, sf_dir):
         F.lit(0).cast("bigint").alias("total"))).select(
         F.to_json(F.struct("total_events", "events_added_last_run")).alias("value"))
     previous = document.agg(F.max(export.total_in(F.col("value"))).alias("total"))
-    return export.run_metadata(view, previous).drop("last_run_utc")
+    iso = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\+00:00$"
+    return export.run_metadata(view, previous).withColumn(
+        "last_run_utc", F.col("last_run_utc").rlike(iso)).withColumnRenamed(
+        "last_run_utc", "is_iso")
 
 
 @query
@@ -189,15 +197,13 @@ def date_range(spark, sf_dir):
 
 @query
 def marker_style(spark, sf_dir):
-    return serving.marker_style(_view(spark, sf_dir)).select(
+    return serving.marker_style(_exported(spark, sf_dir)).select(
         "acled_event_id", "colour", _rounded("radius", 4))
 
 
 @query
 def popup_text(spark, sf_dir):
-    view = _view(spark, sf_dir)
-    rows = view.withColumn("event_datetime", export.utc_text(F.col("event_datetime")))
-    return serving.popup_text(rows).select(
+    return serving.popup_text(_exported(spark, sf_dir)).select(
         "acled_event_id", "score_text", "confidence_text", "frp_text", "sources_text",
         "distance_text", "source_list", "date_text")
 
