@@ -127,7 +127,8 @@ def repair(chance: np.ndarray, taken: np.ndarray, size: np.ndarray) -> np.ndarra
             left = np.abs(wanted - size[outside[place]])
             k = int(left.argmin())
             best = min(best, (float(left[k]), int(inside[k]), int(outside[place[k]])))
-        if best[1] < 0:
+        # sizes are whole numbers; less than half a word is rounding, not a gain
+        if best[0] > abs(gap) - 0.5:
             break
         gap += float(size[best[2]] - size[best[1]])
         taken[best[1]], taken[best[2]] = 0.0, 1.0

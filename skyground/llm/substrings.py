@@ -217,7 +217,7 @@ def _summaries(docs: DataFrame) -> DataFrame:
 
 
 def _without(suspects: DataFrame, window: int) -> DataFrame:
-    """``sha256, n_removed, kept`` from texts and the places of repeated windows."""
+    """``sha256, rank, n_removed, kept`` from texts and the places of repeated windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in pieces(whole, 4 << 20)):
@@ -235,11 +235,11 @@ def _without(suspects: DataFrame, window: int) -> DataFrame:
                     [w for w, gone in zip(words, covered.tolist()) if not gone]).decode(
                         "utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("sha256"), pa.array(removed, pa.int64()), pa.array(kept)],
-                names=["sha256", "n_removed", "kept"])
+                [batch.column("sha256"), batch.column("rank"), pa.array(removed, pa.int64()),
+                 pa.array(kept)], names=["sha256", "rank", "n_removed", "kept"])
 
-    return suspects.select("sha256", "text", "starts").mapInArrow(
-        run, "sha256 string, n_removed bigint, kept string")
+    return suspects.select("sha256", "rank", "text", "starts").mapInArrow(
+        run, "sha256 string, rank bigint, n_removed bigint, kept string")
 
 
 def removals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -279,10 +279,12 @@ def removals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     repeated = windows.join(least, ["h1", "h2"]).filter("least < rank")
     # bounded by the length of one text
     starts = repeated.groupBy("text_no").agg(F.collect_list("at").alias("starts"))
-    partly = _without(suspects.select("text_no", "sha256", "text").join(starts, "text_no"), window)
-    partly = partly.groupBy("sha256").agg(
+    partly = _without(suspects.selectExpr("text_no", "sha256", rank, "text").join(
+        starts, "text_no"), window)
+    # rows of one id may have equal words
+    partly = partly.groupBy("sha256", "rank").agg(
         F.first("n_removed").alias("part_removed"), F.first("kept").alias("part_kept"))
-    return ranked.join(partly, "sha256", "left").select(
+    return ranked.join(partly, ["sha256", "rank"], "left").select(
         "doc_id", "n_words", "sha256",
         F.expr("CASE WHEN copy THEN n_words ELSE coalesce(part_removed, 0) END AS n_removed"),
         F.expr("CASE WHEN copy THEN '' ELSE part_kept END AS kept"))
