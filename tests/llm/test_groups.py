@@ -512,3 +512,29 @@ def test_pipeline_awkward(spark):
             stage(spark, table, "").count()
             docs = stage(spark, docs, "")
         docs.count()
+
+
+@pytest.mark.parametrize("most_nodes", [1, 40, 1 << 20])
+def test_spanning_links_connect_the_same(spark, most_nodes):
+    """Repeated links, links of a node to itself, a dense group, none: whatever a task keeps at once."""
+    rng = np.random.default_rng(5)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(-150, 150, (160, 2))]
+    pairs += [(a, b) for a in range(500, 530) for b in range(a, 530)] * 2
+    links = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(6)
+    kept = [(r.a, r.b) for r in graph.spanning(links, most_nodes).collect()]
+    assert len(kept) == len(set(kept)) and all(a > b for a, b in kept)
+
+    def groups(found):
+        root = {}
+
+        def top(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for a, b in found:
+            root[max(top(a), top(b))] = min(top(a), top(b))
+        return {x: top(x) for x in root if x != top(x)}
+
+    assert groups(kept) == groups(pairs)
+    assert graph.spanning(links.filter("false"), most_nodes).count() == 0
