@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from skyground.llm import editprint, graph, mixing, packing, simhash, substrings, warc
+from skyground.llm import editprint, graph, mixing, packing, shingles, simhash, substrings, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -538,3 +538,50 @@ def test_spanning_links_connect_the_same(spark, most_nodes):
 
     assert groups(kept) == groups(pairs)
     assert graph.spanning(links.filter("false"), most_nodes).count() == 0
+
+
+def plain_shingles(text, k=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i:i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def alike(a, b, percent=80):
+    both = len(a & b)
+    return a == b or 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def planted_edits(rng, base, most):
+    """The text with some of its words replaced."""
+    words = base.split()
+    for k in rng.sample(range(len(words)), rng.randint(1, most)):
+        words[k] = f"w{rng.randrange(10 ** 6)}"
+    return " ".join(words)
+
+
+def test_near_duplicate_stage_acts_from_similarity_080(spark, smallest):
+    """Against the exact five-word similarity of all pairs, most of them close to 0.8."""
+    rng = random.Random(8)
+    texts = [r.text for r in H.documents(spark, smallest).orderBy("doc_id").limit(40).collect()]
+    texts += [planted_edits(rng, t, max(1, len(t.split()) // 30)) for t in texts for _ in range(6)]
+    rows = list(enumerate(texts)) + [(900, None), (901, " "), (902, "a b"), (903, "A b"), (None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = [plain_shingles(t) for _, t in rows]
+    near = [(i, j) for i in range(len(sets)) for j in range(i, len(sets)) if alike(sets[i], sets[j])]
+    assert sum(alike(sets[i], sets[j]) and not alike(sets[i], sets[j], 90) for i, j in near) > 50
+    leaders = {rows[root][0] for root in roots(near).values()}
+    kept = corpus_pipeline.near_duplicates(spark, docs, smallest)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(leaders)
+
+
+@pytest.mark.parametrize("members", [3, 256])
+def test_large_buckets_are_compared_whole(spark, monkeypatch, members):
+    """Whatever the size of a piece of a bucket, the same rows stay."""
+    rng = random.Random(9)
+    base = " ".join(f"v{k}" for k in range(120))
+    texts = [planted_edits(rng, base, 4) for _ in range(60)]
+    sets = [plain_shingles(t) for t in texts]
+    monkeypatch.setattr(shingles, "PIECE_MEMBERS", members)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    near = [(i, j) for i in range(60) for j in range(i, 60) if alike(sets[i], sets[j])]
+    kept = shingles.keep_leaders(docs, 5, 80)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots(near).values()))
