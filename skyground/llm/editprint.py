@@ -6,8 +6,8 @@ them fall into step again soon after each edit, so their edit distance becomes a
 between what the walks write.
 
 A fingerprint samples that output: ``SAMPLES`` fixed steps of every octave [2**o, 2**(o+1)) of
-steps, the last ``OCTAVES`` octaves the walk reaches, one hexadecimal digit (a hash of the
-character) a sample. The octaves make texts of different lengths comparable, and weigh every part
+steps, from the last the walk reaches down to the first step (octave -1), one hexadecimal digit (a
+hash of the character) a sample. The octaves make texts of different lengths comparable, and weigh every part
 of a text by its length. Likeness is the weighted share of equal samples.
 
 Near pairs are found by bit-sampled bands: equality on a few sampled bits of one octave makes a
@@ -26,11 +26,16 @@ from pyspark.sql import DataFrame, functions as F
 from ..plans.stages import stored
 from .text import pieces
 
-SAMPLES, OCTAVES, SEED = 64, 4, 7
+SAMPLES, SEED = 64, 7
 LIKE = 0.5
 #: Bands: so many of the last octaves, bands in each, samples in a band.
 BAND_OCTAVES, BANDS, BAND_SAMPLES = 2, 12, 8
-_FIRST_OCTAVE, _LAST_OCTAVE = 3, 40
+#: Octave -1 is step 0 alone.
+_FIRST_OCTAVE, _LAST_OCTAVE = -1, 40
+#: Lines of a fingerprint at most: all octaves.
+OCTAVES = _LAST_OCTAVE - _FIRST_OCTAVE + 1
+#: Octaves before have too few steps for bands.
+_FIRST_BAND_OCTAVE = 3
 _PERIOD, _CLASSES = 1 << 14, 1 << 8
 #: Texts walk side by side while so many are left; longer ones then go on one by one.
 _TOGETHER = 128
@@ -97,7 +102,7 @@ def _walk_alone(chars, last, at, end, step, rows) -> None:
 
 def fingerprints(texts: list[str]) -> list[str]:
     """The fingerprint of each text: the octave of its last step in two digits, then the samples of
-    its last octaves, the newest first; ``-`` marks a step behind the end. An empty text has only
+    its octaves, the newest first; ``-`` marks a step behind the end. An empty text has only
     ``-``."""
     if not texts:
         return []
@@ -107,8 +112,7 @@ def fingerprints(texts: list[str]) -> list[str]:
         steps = int(last[-1]) + 1 if len(last) else 0
         top = _octave(steps)
         octaves = np.arange(top, max(_FIRST_OCTAVE - 1, top - OCTAVES), -1)
-        wanted = ((1 << octaves)[:, None] * (1 + _SHARES[octaves])).astype(np.int64)
-        # the first octave also stands for all steps before it
+        wanted = (2.0 ** octaves[:, None] * (1 + _SHARES[octaves])).astype(np.int64)
         place = np.searchsorted(last, wanted)
         there = place < len(last)
         digits = np.full(wanted.shape, ord("-"), dtype=np.uint8)
@@ -132,19 +136,14 @@ def likeness(a: str | None, b: str | None) -> float:
     (top, x), (other, y) = _parts(a), _parts(b)
     if top < other:
         (top, x), (other, y) = (other, y), (top, x)
-    equal = total = 0.0
-    for k in range(len(x)):
-        octave = top - k
-        line = octave - other
-        mine = x[k]
-        theirs = y[-line] if line <= 0 and -line < len(y) else None
-        if theirs is None:
-            if line > 0:  # the other text ends before this octave
-                total += (mine != 45).sum() * 2.0 ** octave
-            continue
-        counted = (mine != 45) | (theirs != 45)
-        total += counted.sum() * 2.0 ** octave
-        equal += (counted & (mine == theirs)).sum() * 2.0 ** octave
+    # the first lines are behind the end of the other text
+    gap = top - other
+    n = max(0, min(len(x) - gap, len(y)))
+    weight = 2.0 ** (top - np.arange(len(x)))
+    mine, theirs = x[gap:gap + n], y[:n]
+    counted = (mine != 45) | (theirs != 45)
+    equal = (counted & (mine == theirs)).sum(axis=1) @ weight[gap:gap + n]
+    total = counted.sum(axis=1) @ weight[gap:gap + n] + (x[:gap] != 45).sum(axis=1) @ weight[:gap]
     return float(equal / total) if total else 0.0
 
 
@@ -156,7 +155,9 @@ def bands(fingerprint: str | None) -> list[str]:
     top, parts = _parts(fingerprint)
     keys, used = [], 0
     for k, line in enumerate(parts):
-        if used == BAND_OCTAVES or 2 * (line != 45).sum() < SAMPLES:
+        if used == BAND_OCTAVES or top - k < _FIRST_BAND_OCTAVE:
+            break
+        if 2 * (line != 45).sum() < SAMPLES:
             continue
         for n, chosen in enumerate(_BAND_OF[(top - k) % BAND_OCTAVES]):
             keys.append(f"{top - k}:{n}:{line[chosen].tobytes().decode()}")

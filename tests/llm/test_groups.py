@@ -585,3 +585,17 @@ def test_large_buckets_are_compared_whole(spark, monkeypatch, members):
     near = [(i, j) for i in range(60) for j in range(i, 60) if alike(sets[i], sets[j])]
     kept = shingles.keep_leaders(docs, 5, 80)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots(near).values()))
+
+
+def test_prints_see_the_opening(spark, smallest):
+    """Texts that differ only in their first twentieth have other fingerprints, and every step can be
+    drawn."""
+    texts = [r.text for r in H.documents(spark, smallest).limit(60).collect() if len(r.text) > 400]
+    opened = [t[len(t) // 20 - 1::-1] + t[len(t) // 20:] for t in texts]
+    first = [chr(0x4e00 + k) + t[1:] for k, t in enumerate(texts)]
+    own, other = editprint.fingerprints(texts), editprint.fingerprints(opened)
+    assert all(a != b and editprint.likeness(a, b) < 1 for a, b in zip(own, other))
+    assert sum(a != b for a, b in zip(own, editprint.fingerprints(first))) > 0.8 * len(texts)
+    drawn = {int(2.0 ** o * (1 + s)) for o in range(editprint._FIRST_OCTAVE, 4)
+             for s in editprint._SHARES[o]}
+    assert drawn == set(range(16))
