@@ -20,6 +20,9 @@ BOILERPLATE = (
     "uses cookies", "enable javascript", "click here", "read more", "sign up", "log in",
     "subscribe to", "lorem ipsum",
 )
+_PHRASE = rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{'|'.join(BOILERPLATE)})(?![\p{{L}}\p{{M}}\p{{N}}])"
+#: Marks of any script: ASCII ones, and all other punctuation but bullets, daggers and section signs.
+SENTENCE_MARKS = r"[.,;:!?]|[\p{Po}&&[^\x00-\x7F•·§¶†‡‰‱※]]"
 
 
 def repeated_words(found: Column, window: int = WINDOW) -> Column:
@@ -70,13 +73,15 @@ def line_fails(line: Column) -> Column:
     shouts = ~line.rlike(r"\p{Ll}") & line.rlike(r"(?:\p{Lu}\P{Lu}*+){10}")
     exclaims = many("[!?]", 3) & (F.regexp_count(line, F.lit("[!?]")) * 15 > size)
     symbols = many(SYMBOLS, 3) & (F.regexp_count(line, F.lit(SYMBOLS)) * 15 > size)
-    unmarked = (size > 200) & ~line.rlike(r"[.,;:!?…]")
+    unmarked = (size > 200) & ~line.rlike(SENTENCE_MARKS)
     # navigation: short entries between bars, arrows or bullets
     bar = "[|»›•·]"
     menu = many(bar, 3) & (F.regexp_count(line, F.lit(bar)) * 40 > size)
-    # boilerplate: known phrases, and words said twice in a row
+    # boilerplate: known phrases, as whole words, that make over an eighth of the line, and words
+    # said twice in a row
+    said = lambda low: F.length(low) - F.length(F.regexp_replace(low, _PHRASE, ""))
     known = let(F.lower(line), lambda low: reduce(
-        or_, [F.contains(low, F.lit(phrase)) for phrase in BOILERPLATE]))
+        or_, [F.contains(low, F.lit(phrase)) for phrase in BOILERPLATE]) & (said(low) * 8 > size))
     doubled = r" ([^ ]++) \1(?![^ ])"
     pairs = F.regexp_count(line, F.lit(doubled))
     stutters = (pairs >= 2) & (pairs * 30 > size)

@@ -57,6 +57,35 @@ def test_line_rules(spark, line, fails):
     assert df.select(quality.line_fails(df.line)).first()[0] is fails
 
 
+def marked(word: str, mark: str) -> str:
+    """A long line with no word twice in a row, and no other mark."""
+    return " ".join(word + word[0] * (k % 2) + mark * (k % 10 == 9) for k in range(80))
+
+
+LONG = "The team kept a catalog in the hall and a blog in the town, and whoever came could "
+
+
+@pytest.mark.parametrize("line,fails", [
+    *((LONG + f"{phrase} there. " + H.PROSE, False) for phrase in (
+        "read more", "sign up", "find the privacy policy", "see all rights reserved")),
+    ("It is in the catalog in the hall", False), ("My blog in short", False), ("Designup here", False),
+    ("Log in", True), ("(c) 2020 Some Company. All rights reserved.", True),
+    ("This website uses cookies to ensure you get the best experience on our website.", True),
+    ("Read more about it, sign up or log in; see our terms of service and our privacy policy. " * 3, True),
+    *((marked(word, mark), False) for word, mark in (
+        ("नदी", "।"), ("نهر", "؟"), ("نهر", "،"), ("نهر", "۔"), ("գետ", "։"), ("江河", "。"), ("江河", "、"))),
+    (marked("नदी", ""), True), (("item one two three four five six • ") * 8, True),
+])
+def test_line_rules_weigh_phrases_and_take_all_marks(spark, line, fails):
+    df = spark.createDataFrame([(line,)], "line string")
+    assert df.select(quality.line_fails(df.line)).first()[0] is fails
+
+
+def test_one_paragraph_with_a_phrase_is_kept(spark):
+    docs = spark.createDataFrame([(1, LONG + "sign up or read more of it. " + H.PROSE)], "doc_id long, text string")
+    assert quality.keep_good(docs).count() == 1
+
+
 def test_quality_keeps_columns(spark):
     docs = H.awkward(spark)
     assert quality.keep_good(docs).columns == docs.columns
