@@ -130,5 +130,6 @@ def op4_quality(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that pass; texts are left as they are."""
-    return quality(docs).filter("__quality.kept").drop("__quality")
+    """The rows of ``docs``, all columns, that pass, with ``text`` without the lines that fail."""
+    return quality(docs).filter("__quality.kept").withColumn("text", F.col("__quality.cleaned")).drop(
+        "__quality")

@@ -81,6 +81,15 @@ def test_line_rules_weigh_phrases_and_take_all_marks(spark, line, fails):
     assert df.select(quality.line_fails(df.line)).first()[0] is fails
 
 
+def test_kept_documents_lose_their_failing_lines(spark):
+    text = f"home | about | news | shop | contact\n{H.PROSE}\n\nLog in\n  {LONG.strip()}"
+    docs = spark.createDataFrame([("x", 1, text), ("y", 2, H.PROSE)], "lang string, doc_id long, text string")
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id: r.text for r in kept.collect()} == {
+        1: f"{H.PROSE}\n\n  {LONG.strip()}", 2: H.PROSE}
+
+
 def test_one_paragraph_with_a_phrase_is_kept(spark):
     docs = spark.createDataFrame([(1, LONG + "sign up or read more of it. " + H.PROSE)], "doc_id long, text string")
     assert quality.keep_good(docs).count() == 1
