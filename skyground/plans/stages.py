@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or, where that is unset, a folder of
-    the warehouse. The rule is the same for every master, and nothing machine-local is used."""
+    """The folder all executors see: ``spark.checkpoint.dir``. Where that is unset, a folder of the
+    warehouse takes its place if every task can reach it: in a local session, or when the warehouse
+    is in a store. On a cluster a plain or ``file:`` warehouse is local to one machine, and the
+    call fails."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
+    if folder:
+        return folder
+    warehouse = (spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse").rstrip("/")
+    in_store = "://" in warehouse and not warehouse.startswith("file:")
+    if not in_store and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse}/stages"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -80,6 +80,12 @@ def test_first_per_key(spark):
     assert keep(null_keys_differ=True) == [(0, "x"), (0, "y"), (1, "a"), (2, "")]
 
 
+def test_of_two_copies_the_one_with_a_value_stays(spark):
+    df = spark.createDataFrame([(1, None, 5), (1, "v", None), (1, "v", 7)], "k int, v string, w int")
+    assert [tuple(r) for r in first_per_key(df, ["k"]).collect()] == [(1, "v", 7)]
+    assert [tuple(r) for r in first_per_key(df, ["k"], order=["w"]).collect()] == [(1, None, 5)]
+
+
 def test_copies_are_combined_before_the_shuffle(spark):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     plan = first_per_key(df, ["k"])._jdf.queryExecution().executedPlan().toString()

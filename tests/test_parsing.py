@@ -75,7 +75,8 @@ def test_unreadable_counts_only_text(spark):
                                                    "null source"]),
     (display.confidence_text, "string", ["h", "H", None], ["High confidence", "Nominal",
                                                            "Nominal"]),
-    (display.distance_text, "float", [3150.0, 40.0], ["3.2 km apart", "0.0 km apart"]),
+    (display.distance_text, "float", [3150.0, 3160.0, 40.0], [
+        "3.1 km apart", "3.2 km apart", "0.0 km apart"]),
     (display.marker_radius, "double", [None, 0.0, 100.0, 1000.0],
      [pytest.approx(6 + 1.8 * 2 ** 0.5)] * 2 + [22.0, 22.0]),
     (display.date_prefix, "string", ["2024-01-02 03:04:05", None], ["2024-01-02", ""]),

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from workload import oracle, queries
 
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
@@ -26,10 +27,12 @@ def plain(value):
 
 
 def test_every_query_has_sql():
-    assert QUERIES.keys() == SQL.keys()
+    """Those of the library itself; text operators without SQL are tested in their own folder."""
+    assert queries.registered().keys() == oracle.oracle_sql().keys()
+    assert SQL.keys() <= QUERIES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows(spark, duck, smallest, name):
     df = QUERIES[name](spark, smallest)
     columns = sorted(df.columns)
