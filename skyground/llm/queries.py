@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .divergence import DIVERGENCE_SQL, op13_divergence
 from .editprint import op3_editprint
 from .language import op6_language
 from .mixing import op7_mixing
@@ -16,9 +17,10 @@ from .warc import op8_warc
 
 def registered() -> dict:
     found = (op1_simhash, op2_pack, op3_editprint, op4_quality, op5_substrings, op6_language,
-             op7_mixing, op8_warc, op9_pii, op10_secrets)
+             op7_mixing, op8_warc, op9_pii, op10_secrets,
+             op13_divergence)
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_divergence": DIVERGENCE_SQL}
