@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..plans.stages import stored
@@ -26,8 +27,8 @@ MIN_DOCS, TOP_TERMS = 10, 10
 SCALE, SMOOTH = 1_000_000_000, 2
 #: Entries (a term under a source) a task folds before it writes its stripes: some 100 MB.
 FOLD_ENTRIES = 400_000
-#: Stripes merged or scored at a time.
-_BLOCK = 4_096
+#: Stripes written at a time, and numbers (a term under each source) scored at a time.
+_ROWS, _CELLS = 1 << 16, 1 << 18
 #: Sources of one language, and groups of all languages, that the totals sent to every task may
 #: have. The result has a row for each pair of sources, so more of them end with a message.
 MAX_SOURCES, MAX_GROUPS = 4_096, 1 << 18
@@ -44,11 +45,13 @@ def terms(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
 
 
-def _stripe_batch(lang: list, term: list, df: list, sources: list, counts: list) -> pa.RecordBatch:
+def _batch(lang: pa.Array, term: pa.Array, df: np.ndarray, ends: np.ndarray, sources: pa.Array,
+           counts: np.ndarray) -> pa.RecordBatch:
+    """Stripes from flat entries; ``ends`` tells where each stripe's entries begin and end."""
+    ends = pa.array(ends, pa.int32())
     return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(term, pa.binary()).cast(pa.string()),
-         pa.array(df, pa.int64()), pa.array(sources, pa.list_(pa.string())),
-         pa.array(counts, pa.list_(pa.int64()))],
+        [lang, term, pa.array(df, pa.int64()), pa.ListArray.from_arrays(ends, sources),
+         pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))],
         names=["lang", "term", "df", "sources", "counts"])
 
 
@@ -62,15 +65,23 @@ def _fold(entries: int):
 
         def stripes() -> Iterator[pa.RecordBatch]:
             for lang, df in found.items():
-                by_source = sorted(occurs[lang].items())
-                here = list(df)
-                for start in range(0, len(here), _BLOCK):
-                    block = here[start:start + _BLOCK]
-                    hits = [[(s, n) for s, counted in by_source if (n := counted.get(t))]
-                            for t in block]
-                    yield _stripe_batch(
-                        [lang] * len(block), block, [df[t] for t in block],
-                        [[s for s, _ in h] for h in hits], [[n for _, n in h] for h in hits])
+                by_source = occurs[lang]
+                sizes = [len(c) for c in by_source.values()]
+                coded = pa.array([t for c in by_source.values() for t in c],
+                                 pa.binary()).dictionary_encode()
+                counts = np.fromiter((n for c in by_source.values() for n in c.values()), np.int64)
+                own = np.repeat(np.arange(len(sizes)), sizes)
+                # the entries of a term side by side
+                of_term = coded.indices.to_numpy()
+                order = np.argsort(of_term, kind="stable")
+                names = pa.array(list(by_source), pa.string()).take(pa.array(own[order]))
+                here = coded.dictionary
+                ends = np.concatenate(([0], np.cumsum(np.bincount(of_term, minlength=len(here)))))
+                documents = np.fromiter(map(df.__getitem__, here.to_pylist()), np.int64)
+                whole = _batch(pa.array([lang] * len(here), pa.string()), here.cast(pa.string()),
+                               documents, ends, names, counts[order])
+                for start in range(0, len(here), _ROWS):
+                    yield whole.slice(start, _ROWS)
             found.clear()
             occurs.clear()
 
@@ -81,7 +92,6 @@ def _fold(entries: int):
                 own = terms(text)
                 if not own:
                     continue
-                lang, source = lang or "", source or ""
                 counted = occurs.setdefault(lang, {}).setdefault(source, Counter())
                 held -= len(counted)
                 counted.update(own)
@@ -95,41 +105,54 @@ def _fold(entries: int):
     return run
 
 
-def _merge(least: int):
-    """Sorted stripes to one a term, those of terms in ``least`` documents or more."""
+def _merged(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Sorted stripes with those of one term added up."""
+    lang, term = rows.column("lang"), rows.column("term")
+    new = np.ones(rows.num_rows, dtype=bool)
+    new[1:] = pc.or_(pc.not_equal(lang.slice(1), lang.slice(0, len(lang) - 1)),
+                     pc.not_equal(term.slice(1), term.slice(0, len(term) - 1))).to_numpy(
+                         zero_copy_only=False)
+    first = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    sizes = pc.list_value_length(rows.column("counts")).to_numpy()
+    coded = rows.column("sources").flatten().dictionary_encode()
+    width = len(coded.dictionary)
+    entry = np.repeat(group, sizes) * width + coded.indices.to_numpy()
+    different, back = np.unique(entry, return_inverse=True)
+    counts = np.zeros(len(different), dtype=np.int64)
+    np.add.at(counts, back, rows.column("counts").flatten().to_numpy())
+    ends = np.searchsorted(different, np.arange(len(first) + 1) * width)
+    at = pa.array(first)
+    return _batch(lang.take(at), term.take(at),
+                  np.add.reduceat(rows.column("df").to_numpy(), first), ends,
+                  coded.dictionary.take(pa.array(different % width)), counts)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, df, total, out = None, 0, {}, ([], [], [], [], [])
 
-        def done() -> None:
-            if here is not None and df >= least:
-                ordered = sorted(total.items())
-                for column, value in zip(out, (
-                        here[0], here[1].encode(), df, [s for s, _ in ordered],
-                        [n for _, n in ordered])):
-                    column.append(value)
+def _merge(least: int):
+    """Sorted stripes to one a term, those of terms in ``least`` documents or more. Batches are
+    merged one by one; the last term of each waits, as a single stripe, for the next."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = None
+        frequent = lambda rows: rows.filter(pc.greater_equal(rows.column("df"), least))
         for batch in batches:
-            for lang, term, own, sources, counts in zip(*(
-                    batch.column(c).to_pylist() for c in ("lang", "term", "df", "sources", "counts"))):
-                if (lang, term) != here:
-                    done()
-                    here, df, total = (lang, term), 0, {}
-                df += own
-                for s, n in zip(sources, counts):
-                    total[s] = total.get(s, 0) + n
-            if len(out[0]) >= _BLOCK:
-                yield _stripe_batch(*out)
-                out = ([], [], [], [], [])
-        done()
-        yield _stripe_batch(*out)
+            if not batch.num_rows:
+                continue
+            if waiting is not None:
+                batch = pa.concat_batches([waiting, batch])
+            done = _merged(batch)
+            waiting = done.slice(done.num_rows - 1)
+            yield frequent(done.slice(0, done.num_rows - 1))
+        if waiting is not None:
+            yield frequent(waiting)
 
     return run
 
 
 def stripes(docs: DataFrame, least: int = MIN_DOCS, entries: int = FOLD_ENTRIES) -> DataFrame:
     """``lang, term, df, sources, counts`` for each term in ``least`` or more documents of a
-    language: how many documents have it, and how often it occurs by source, where it does."""
+    language: how many documents have it, and how often it occurs by source, where it does. ``lang``
+    and ``source`` are not null."""
     folded = docs.select("lang", "source", "text").mapInArrow(_fold(entries), _STRIPE)
     return folded.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(
         _merge(least), _STRIPE)
@@ -155,11 +178,14 @@ def _score(shared, top: int):
         sums: dict[str, np.ndarray] = {}
         best: dict[tuple[str, int], list] = {}
 
-        def add(lang: str, block: list) -> None:
-            sources, place, totals, kept = groups[lang]
-            count = np.zeros((len(sources), len(block)), dtype=np.int64)
-            for k, (_, own, n) in enumerate(block):
-                count[[place[s] for s in own], k] = n
+        def add(lang: str, rows: pa.RecordBatch) -> None:
+            sources, totals, kept = groups[lang]
+            names = rows.column("sources").flatten()
+            place = pc.index_in(names, value_set=pa.array(sources, pa.string())).to_numpy()
+            at = np.repeat(np.arange(rows.num_rows),
+                           pc.list_value_length(rows.column("counts")).to_numpy())
+            count = np.zeros((len(sources), rows.num_rows), dtype=np.int64)
+            count[place, at] = rows.column("counts").flatten().to_numpy()
             p = np.stack([share(count[i], totals[i], kept) for i in range(len(sources))])
             q = share(count.sum(axis=0), sum(totals), kept)
             mine = sums.setdefault(lang, np.zeros((len(sources), len(sources)), dtype=np.int64))
@@ -167,21 +193,24 @@ def _score(shared, top: int):
                 mine[i, i + 1:] += _apart(p[i], p[i + 1:]).sum(axis=1)
             value = _apart(p, q)
             for i in range(len(sources)):
-                at = np.flatnonzero((count[i] > 0) & (p[i] > q))
-                # ties go to the least term, which the order of UTF-8 bytes gives
-                found = best.get((lang, i), []) + [(-int(value[i, k]), block[k][0].encode()) for k in at]
+                some = np.flatnonzero((count[i] > 0) & (p[i] > q))
+                if len(some) > top:  # with all that equal the last
+                    last = np.partition(value[i, some], -top)[-top]
+                    some = some[value[i, some] >= last]
+                words = rows.column("term").take(pa.array(some, pa.int64())).cast(pa.binary())
+                # equal values go by the least term in UTF-8
+                found = [*best.get((lang, i), []),
+                         *zip((-value[i, some]).tolist(), words.to_pylist())]
                 best[lang, i] = heapq.nsmallest(top, found)
 
-        waiting: dict[str, list] = {}
         for batch in batches:
-            for lang, term, own, n in zip(*(batch.column(c).to_pylist()
-                                            for c in ("lang", "term", "sources", "counts"))):
-                block = waiting.setdefault(lang, [])
-                block.append((term, own, n))
-                if len(block) * len(groups[lang][0]) >= 64 * _BLOCK:
-                    add(lang, waiting.pop(lang))
-        for lang, block in waiting.items():
-            add(lang, block)
+            of_lang = batch.column("lang").dictionary_encode()
+            for k, lang in enumerate(of_lang.dictionary.to_pylist()):
+                own = batch.filter(pc.equal(of_lang.indices, k))
+                # all sources of a block of terms are looked at together
+                block = max(1, _CELLS // len(groups[lang][0]))
+                for start in range(0, own.num_rows, block):
+                    add(lang, own.slice(start, block))
         rows = []
         for lang, mine in sums.items():
             sources = groups[lang][0]
@@ -231,8 +260,7 @@ def divergences(docs: DataFrame, least: int = MIN_DOCS, top: int = TOP_TERMS,
     vocabulary = {r["lang"]: r["count"] for r in kept.groupBy("lang").count().collect()}
     groups: dict[str, tuple] = {}
     for lang, source, n in totals.orderBy("lang", "source").collect():
-        sources, place, own, _ = groups.setdefault(lang, ([], {}, [], vocabulary.get(lang, 0)))
-        place[source] = len(sources)
+        sources, own, _ = groups.setdefault(lang, ([], [], vocabulary.get(lang, 0)))
         sources.append(source)
         own.append(n)
     partial = kept.mapInArrow(
