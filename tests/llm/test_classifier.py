@@ -1,0 +1,147 @@
+"""Quality scores: held-out accuracy, and the fit against a plain one over all rows at once."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm_helpers import PROSE, awkward, documents, empty
+from skyground.llm import classifier as C
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def is_held_out(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def auc(scores, truth):
+    good, bad = scores[truth == 1], scores[truth == 0]
+    return np.mean([(good > b).mean() + (good == b).mean() / 2 for b in bad])
+
+
+def plain(texts, learning, half):
+    """The classifier's scores with all features in one array."""
+    raw = np.array([C.features(t) for t in texts]).astype(float)
+    mean = raw[learning].mean(axis=0)
+    scale = raw[learning].std(axis=0) + 1e-3
+    x = C.standardised(raw, mean, scale)
+    moments = lambda rows: C.Moments(x[rows].T @ x[rows] / rows.sum(), float(rows.sum()))
+    trusted = learning & (half >= 0)
+    every, both, early = moments(learning), moments(trusted), moments(learning & (half == 0))
+    ridge = lambda m: C.RIDGE + C.RIDGE_ROWS / m.n
+    first = x @ C.minimise(C.FIRST_SHARE, early, every, ridge(early))
+    bins = np.clip(((first + C.RANGE) / (2 * C.RANGE) * C.BINS).astype(int), 0, C.BINS - 1)
+    counts = [np.bincount(bins[rows], minlength=C.BINS) for rows in (learning, learning & (half == 1))]
+    share = C.share_of_good(*counts)
+    return np.clip((1 + x @ C.minimise(share, both, every, ridge(both))) / 2, 0, 1), share
+
+
+def test_query(spark):
+    """Held-out labels, the estimated share, and the same scores as one array gives."""
+    got = C.op12_quality_pu(spark, MIDDLE)
+    assert got.dtypes == [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"),
+                          ("predicted", "int")]
+    docs = documents(spark, MIDDLE).collect()
+    labels = spark.read.parquet(f"{MIDDLE}/labels.parquet")
+    rows = {r.doc_id: r for r in got.collect()}
+    assert len(rows) == len(docs)
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    assert all(r.held_out == is_held_out(i) and 0 <= r.score <= 1
+               and r.predicted == (r.score >= 0.3) for i, r in rows.items())
+    tested = [i for i in quality if is_held_out(i)]
+    truth = np.array([quality[i] for i in tested])
+    scores = np.array([rows[i].score for i in tested])
+    assert auc(scores, truth) > 0.99
+    assert ((scores >= 0.3) == (truth == 1)).mean() > 0.95 and (scores[truth == 1] >= 0.3).all()
+
+    halves = {r.doc_id: r.half for r in C.trusted_ids(
+        labels.filter(~C.held_out())).collect()}
+    assert all(quality[i] == 1 and not is_held_out(i) for i in halves)
+    want, share = plain([d.text for d in docs],
+                        np.array([not is_held_out(d.doc_id) for d in docs]),
+                        np.array([halves.get(d.doc_id, -1) for d in docs]))
+    assert np.abs(want - [rows[d.doc_id].score for d in docs]).max() < 1e-6
+    known = [q for i, q in quality.items() if not is_held_out(i)]
+    assert share == pytest.approx(np.mean(known), abs=0.08)
+
+
+def test_labels_of_held_out_rows_and_other_columns_change_nothing(spark, smallest):
+    docs, labels = documents(spark, smallest), spark.read.parquet(f"{smallest}/labels.parquet")
+    scores = lambda d, lab: sorted(
+        (r.doc_id, round(r.score, 9)) for r in C.classify(d, lab)[0].collect())
+    turned = labels.withColumn(
+        "quality", F.when(C.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    other = docs.withColumns({"lang": F.lit("x"), "source": F.lit(None).cast("string"),
+                              "learning": F.lit(False), "features": F.lit("f"), "score": F.lit(2)})
+    assert scores(docs, labels) == scores(other, turned)
+
+
+def test_awkward_rows(spark):
+    """Nulls, empty and long texts, repeated and null ids; contradicting and null labels."""
+    labels = spark.createDataFrame(
+        [(1, 1), (1, 1), (6, 1), (7, 1), (7, 0), (None, 1), (8, None), (99, 1)],
+        "doc_id bigint, quality int")
+    docs = awkward(spark)
+    assert sorted(r.doc_id for r in C.trusted_ids(labels).collect()) == [1, 6, 99]
+    got, model = C.classify(docs, labels)
+    rows = got.collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    assert 0 < model.share < 1
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 0)], [(1, None)]])
+def test_without_trusted_rows(spark, labels):
+    labels = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    got, model = C.classify(awkward(spark), labels)
+    assert model is None and {r.score for r in got.collect()} == {0.5}
+    assert C.classify(empty(spark), labels)[0].collect() == []
+
+
+def test_features_of_long_texts(monkeypatch):
+    """Stretches change nothing; every part of a text counts."""
+    text = (PROSE + "\nÀ é 😀!! a a b #1 ") * 40 + "x" * 500 + "\n\n end"
+    whole = C.features(text)
+    assert len(whole) == C.WIDTH and np.isfinite(whole).all()
+    monkeypatch.setattr(C, "_STRETCH", 64)
+    assert np.array_equal(C.features(text), whole)
+    for other in (text.upper(), text[:-4] + "END", "#" + text, None, "", " "):
+        assert not np.array_equal(C.features(other), whole)
+    assert np.array_equal(C.features(None), C.features(""))
+
+
+@pytest.mark.parametrize("seed,share,same", [(1, 0.3, False), (2, 0.8, False), (3, 0.9, True)])
+def test_the_least_non_negative_risk(seed, share, same):
+    """No change of the coefficients lowers the risk, with and without a nil negative part."""
+    random = np.random.default_rng(seed)
+    good = random.normal(size=(40 if same else 400, 6)) + 0.5
+    bad = random.normal(size=(2_000, 6)) * 1.5 - (0 if same else 1)
+    unlabelled = np.concatenate((random.normal(size=(int(2_000 * share / (1 - share)), 6)) + 0.5, bad))
+
+    def moments(x):
+        x = np.column_stack((np.ones(len(x)), x))
+        return C.Moments(x.T @ x / len(x), float(len(x)))
+
+    p, u = moments(good), moments(unlabelled)
+    claimed = 0.99 if same else share
+    w = C.minimise(claimed, p, u, 0.01)
+    least = C.risk(w, claimed, p, u, 0.01)
+    if same:
+        assert abs(C.negative_part(w, claimed, p, u)) < 1e-9
+    for size in (1e-3, 1e-2, 0.1, 1.0):
+        for _ in range(200):
+            other = w + size * random.normal(size=len(w))
+            assert C.risk(other, claimed, p, u, 0.01) >= least - 1e-9
+
+
+def test_share_from_scores():
+    random = np.random.default_rng(0)
+    bins = lambda x: np.bincount(np.clip(x.astype(int), 0, 99), minlength=100)
+    for share in (0.1, 0.5, 0.9):
+        good, n = random.normal(70, 8, 20_000), 50_000
+        every = np.concatenate((random.normal(70, 8, int(n * share)),
+                                random.normal(30, 8, int(n * (1 - share)))))
+        assert C.share_of_good(bins(every), bins(good)) == pytest.approx(share, abs=0.03)
