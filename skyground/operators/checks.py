@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as V
 from .proximity import residual_pairs
@@ -61,6 +61,21 @@ def contract_checks(silver: DataFrame, pairs: DataFrame) -> DataFrame:
     return filled.unionByName(left_over).unionByName(ends)
 
 
+def observed_contract(
+    spark: SparkSession, silver_rows: int, residual: DataFrame | None,
+    score_min: float | None, score_max: float | None,
+) -> DataFrame:
+    """:func:`contract_checks` from what the writes have observed; ``residual`` is one row of
+    :func:`~.proximity.residual_pairs`, or None where it is not audited."""
+    rows = [("silver_rows", float(silver_rows), silver_rows > 0),
+            ("score_min", score_min, score_min is None or score_min >= 0),
+            ("score_max", score_max, score_max is None or score_max <= 1)]
+    seen = spark.createDataFrame(rows, "check_name string, value double, passed boolean")
+    return seen if residual is None else seen.unionByName(residual.select(
+        F.lit("residual_pairs").alias("check_name"),
+        F.col("residual").cast("double").alias("value"), (F.col("residual") == 0).alias("passed")))
+
+
 def verification_summary(silver: DataFrame, pairs: DataFrame) -> DataFrame:
     """``(item, value)``: rows of both tables, near-duplicates left, score statistics.
 

@@ -8,12 +8,13 @@ from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..plans.stages import observed
 from .skew import hot_keys, split_hot
 
 
 # The keys of a batch are sent to all executors if they take no more than this.
 SMALL_KEYS_BYTES = 32 << 20
-_ROW_BYTES = 16  # beside the key text itself
+ROW_BYTES = 16  # beside the key text itself
 
 
 def new_rows(
@@ -63,9 +64,9 @@ def insert_new(
 ) -> dict[str, int]:
     """Appends the new rows to a table; returns the source and the inserted row counts.
 
-    ``source`` should be a stored stage, since it is counted as well as merged. Counts come from
-    committed data, so a task that ran twice is not counted twice. Running the merge again inserts
-    nothing: the anti join sees the committed rows, and a write that failed has committed none.
+    ``source`` should be a stored stage, since it is read for its size as well as merged. The write
+    counts what it inserts, so the target is not counted. Running the merge again inserts nothing:
+    the anti join sees the committed rows, and a write that failed has committed none.
 
     ``implied_time`` names a column that equal keys always share, as when the key is a hash of it.
     Only the part of the target in the batch's time range is then read, so a daily merge does not
@@ -73,16 +74,18 @@ def insert_new(
     """
     target = spark.table(table)
     source = source.select(*target.columns)
-    before = target.count()
     key_bytes = " + ".join(f"coalesce(octet_length(CAST(`{k}` AS STRING)), 0)" for k in keys)
-    rows, size = source.agg(
-        F.count(F.lit(1)), F.expr(f"coalesce(sum({key_bytes}), 0)")).first()
-    small = size + rows * _ROW_BYTES <= SMALL_KEYS_BYTES
+    ends = [] if implied_time is None else [F.min(implied_time), F.max(implied_time)]
+    rows, size, *span = source.agg(
+        F.count(F.lit(1)), F.expr(f"coalesce(sum({key_bytes}), 0)"), *ends).first()
+    small = size + rows * ROW_BYTES <= SMALL_KEYS_BYTES
     known = target
     if implied_time is not None:
-        first, last = source.agg(F.min(implied_time), F.max(implied_time)).first()
+        first, last = span
         when = F.col(implied_time)
         known = target.filter(when.isNull() if first is None else
                               when.between(first, last) | when.isNull())
-    new_rows(source, known, keys, small_source=small).write.insertInto(table)
-    return {"source": rows, "inserted": spark.table(table).count() - before}
+    found = observed(
+        new_rows(source, known, keys, small_source=small),
+        lambda df: df.write.insertInto(table), inserted=F.count(F.lit(1)))
+    return {"source": rows, "inserted": found["inserted"]}

@@ -91,6 +91,11 @@ def map_view(
     best = stored(best_per_report(pairs, min_score), "best")
     placed = ordinal_within(
         best, ["event_lat", "event_lon"], "acled_event_id", "_ordinal", rows_per_task)
+    return spread(placed, grid)
+
+
+def spread(placed: DataFrame, grid: bool = False) -> DataFrame:
+    """Map columns of best pairs with their ``_ordinal`` at their coordinate."""
     row = (F.col("_ordinal") % 10).cast("double")
     column = F.col("_ordinal").cast("double") / 10
     if grid:

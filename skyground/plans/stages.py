@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,3 +34,45 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/stage-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the actions of a block; what was there before comes back."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def replace_partitions(df: DataFrame, table: str) -> None:
+    """Writes ``df`` over the partitions of a table that it has rows for, and no others. ``df`` may
+    read other partitions of the same table."""
+    # the option of the writer is not heeded by insertInto
+    with setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        df.write.mode("overwrite").insertInto(table)
+
+
+def observed(df: DataFrame, write: Callable[[DataFrame], None], **metrics: Column) -> dict:
+    """Aggregates of the rows that ``write`` writes, gathered by the write itself: no further scan.
+
+    The rows are observed in the stage that writes them, where Spark counts every partition once, in the
+    attempt that was committed; a task that ran twice, or a lost executor, changes nothing. What is
+    computed from shuffled rows further up is not observed, since such stages may be repeated.
+    """
+    seen = Observation()
+    write(df.observe(seen, *[column.alias(name) for name, column in metrics.items()]))
+    return seen.get
+
+
+def stored_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """:func:`stored` with aggregates of the stored rows."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stage-{name}-{uuid.uuid4().hex}"
+    found = observed(df, lambda rows: rows.write.parquet(path), **metrics)
+    return spark.read.schema(df.schema).parquet(path), found

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.merge import insert_new
+from ..plans.stages import observed
 from ..schemas import CORRELATIONS, DETECTIONS, REPORTS, STAMPS, conform
 
 # Table names
@@ -13,6 +14,7 @@ REPORTS_BRONZE = "acled_events"
 DETECTIONS_SILVER = "firms_silver"
 CORRELATIONS_GOLD = "fire_event_correlations"
 MAP_VIEW = "gold_fire_event_map"
+MAP_TABLE = "gold_fire_event_map_rows"
 
 _SCHEMAS = {
     DETECTIONS_BRONZE: DETECTIONS,
@@ -64,6 +66,18 @@ def write_silver(spark: SparkSession, schema: str, silver: DataFrame) -> DataFra
     return spark.table(table)
 
 
+def write_silver_observed(
+    spark: SparkSession, schema: str, silver: DataFrame
+) -> tuple[DataFrame, int]:
+    """:func:`write_silver`, and how many rows the write has written."""
+    table = qualified(schema, DETECTIONS_SILVER)
+    found = observed(
+        conform(silver, DETECTIONS, STAMPS),
+        lambda rows: rows.write.mode("overwrite").insertInto(table, overwrite=True),
+        rows=F.count(F.lit(1)))
+    return spark.table(table), found["rows"]
+
+
 def merge_gold(
     spark: SparkSession, schema: str, pairs: DataFrame, ids_imply_time: bool = False
 ) -> dict[str, int]:
