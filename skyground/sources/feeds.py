@@ -10,6 +10,7 @@ from ..functions.clock import midnight_s
 from ..functions.geo import in_any_box
 from ..operators.exact import first_per_key
 from ..schemas import DETECTIONS, REPORTS, conform
+from .landed import MALFORMED
 
 DETECTION_KEY = ["acq_datetime", "latitude", "longitude", "satellite"]
 REPORT_KEY = ["global_event_id"]
@@ -34,9 +35,11 @@ def route_detections(
 ) -> DataFrame:
     """Parsed columns plus ``reason``: the first of low_conf, parse_err, outside_zone, or ok.
 
-    ``warnings`` counts optional values with text that could not be read.
+    ``warnings`` counts optional values with text that could not be read. Rows that were read with
+    :data:`~.landed.MALFORMED` columns keep them, and ``malformed`` comes before all other reasons.
     """
     c = F.col
+    told = MALFORMED if "malformed" in raw.columns else ()
     decimals = ("latitude", "longitude", "bright_ti4", "bright_ti5", "frp", "scan", "track")
     optional = (*decimals[2:], "type")
     # each text is stripped once, then parsed once, then looked at by warnings and strictness
@@ -56,11 +59,13 @@ def route_detections(
         P.clipped(c("version"), 10).alias("version"),
         sum((F.coalesce(P.unreadable(c(f"_{n}"), c(n)), F.lit(0)) for n in optional), F.lit(0))
         .alias("warnings"),
+        *told,
     ))
     readable = (
         c("acq_datetime").isNotNull() & c("latitude").isNotNull() & c("longitude").isNotNull())
+    first = F.when(c("malformed").isNotNull(), "malformed") if told else F
     reason = (
-        F.when(~c("_keep"), "low_conf")
+        first.when(~c("_keep"), "low_conf")
         .when(~readable, "parse_err")
         .when(~in_any_box(c("latitude"), c("longitude"), boxes), "outside_zone")
         .otherwise("ok")
@@ -126,7 +131,8 @@ def select_reports(raw: DataFrame, since: str, until: str) -> DataFrame:
 
 def normalise_detections(raw: DataFrame, **options) -> DataFrame:
     """Accepted detections in table form: exact duplicates dropped, id and ingest time added."""
-    kept = route_detections(raw, **options).filter("reason = 'ok'").drop("reason", "warnings")
+    kept = route_detections(raw, **options).filter("reason = 'ok'").drop(
+        "reason", "warnings", *MALFORMED)
     unique = first_per_key(kept, DETECTION_KEY)
     return conform(
         unique.withColumn("id", P.key_hash(*DETECTION_KEY))
@@ -148,14 +154,17 @@ def reason_counts(routed: DataFrame) -> DataFrame:
 
 
 def quality_report(routed: DataFrame, key: list[str]) -> DataFrame:
-    """One row: raw and kept rows, rows per reason, unreadable values, exact duplicates.
+    """One row: raw and kept rows, rows per reason, unreadable values, exact duplicates. ``malformed``
+    is a column where the rows were read with it.
 
     Counting per key first combines copies map side; the second count is over distinct keys.
     """
     per_key = routed.groupBy("reason", *key).agg(
         F.count(F.lit(1)).alias("n"), F.sum("warnings").alias("warnings"))
     kept = F.col("reason") == "ok"
-    reasons = ("low_conf", "parse_err", "outside_zone", "skipped")
+    reasons = ["low_conf", "parse_err", "outside_zone", "skipped"]
+    if "malformed" in routed.columns:
+        reasons.insert(0, "malformed")
     return per_key.agg(
         F.sum("n").alias("raw_rows"),
         *[F.coalesce(F.sum(F.when(F.col("reason") == r, F.col("n"))), F.lit(0)).alias(r)
