@@ -1,0 +1,75 @@
+"""Points in boxes of all sizes against a plain test of every pair."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from skyground.operators import tiles as T
+
+BOX = "min_lat double, max_lat double, min_lon double, max_lon double"
+
+
+def made(spark, points, boxes):
+    return (spark.createDataFrame([(i, *p) for i, p in enumerate(points)],
+                                  "id int, latitude double, longitude double"),
+            spark.createDataFrame(boxes, BOX))
+
+
+def inside(points, boxes):
+    valid = [b for b in boxes if None not in b]
+    return [i for i, (lat, lon) in enumerate(points) if lat is not None and lon is not None and any(
+        s <= lat <= n and w <= lon <= e for s, n, w, e in valid)]
+
+
+@pytest.mark.parametrize("seed,rows_per_task", [(1, 1_000_000), (2, 5)])
+def test_all_sizes(spark, seed, rows_per_task):
+    """Boxes from a point to the globe, touching edges, repeated, turned inside out, without an edge;
+    with few rows a task, crowded tiles of both sides are split."""
+    draw = random.Random(seed)
+    points = [(draw.uniform(-90, 90), draw.uniform(-180, 180)) for _ in range(150)]
+    points += [(10.0, 20.0)] * 40 + [(10.0, 20.0 + k / 64) for k in range(20)]
+    points += [(None, 1.0), (1.0, None), (float("nan"), 1.0), (90.0, 180.0), (-90.0, -180.0), (0.0, -0.0)]
+    boxes = []
+    for size in (0.0, 0.001, 0.02, 0.3, 1.0, 22.5, 22.6, 100.0):
+        for _ in range(8):
+            lat, lon = draw.choice(points[:190])
+            boxes.append((lat - draw.random() * size, lat + draw.random() * size,
+                          lon - draw.random() * size, lon + draw.random() * size))
+    boxes += [(10.0 - k / 1e4, 10.0 + k / 1e4, 20.0 - k / 1e4, 20.0) for k in range(30)]
+    boxes += [boxes[0], (5.0, 4.0, 0.0, 1.0), (None, 4.0, 0.0, 1.0), (10.0, 10.0, 20.0, 20.25)]
+    df, table = made(spark, points, boxes)
+    got = T.keep_in_tiled_boxes(df, table, rows_per_task)
+    assert got.columns == df.columns
+    assert sorted(r.id for r in got.collect()) == inside(points, boxes)
+
+
+def test_a_box_touches_four_tiles_at_most(spark):
+    """The globe as well: where a fixed grid of one degree has 64,800 cells."""
+    sizes = [(-90.0, 90.0, -180.0, 180.0), (0.0, 0.0, 0.0, 0.0), (-1.0, 1.0, -1.0, 1.0),
+             (44.0, 52.5, 22.0, 40.5), (41.0, 82.0, 19.0, 180.0), (10.0, 10.0001, 20.0, 20.0001)]
+    counts = {tuple(r[:4]): r["count"] for r in T.box_tiles(
+        spark.createDataFrame(sizes, BOX)).groupBy("min_lat", "max_lat", "min_lon", "max_lon").count(
+        ).collect()}
+    assert set(counts) == set(sizes) and all(1 <= n <= 4 for n in counts.values())
+
+
+def test_points_look_up_only_levels_that_boxes_have(spark):
+    df, table = made(spark, [(1.0, 1.0)], [(0.0, 0.1, 0.0, 0.1), (0.0, 0.1, 5.0, 5.1)])
+    levels = {r[0] for r in T.box_tiles(table).select("_level").distinct().collect()}
+    assert len(levels) == 1
+    assert T.coordinate_tiles(df, [3, 7]).count() == 2
+
+
+def test_no_boxes_or_points(spark):
+    df, table = made(spark, [(1.0, 1.0)], [(0.0, 2.0, 0.0, 2.0)])
+    assert T.keep_in_tiled_boxes(df, table.limit(0)).count() == 0
+    assert T.keep_in_tiled_boxes(df.limit(0), table).count() == 0
+    assert T.keep_in_tiled_boxes(df, table).count() == 1
+
+
+def test_plan_has_keys(spark):
+    df, table = made(spark, [(1.0, 1.0)], [(0.0, 2.0, 0.0, 2.0)])
+    plan = T.keep_in_tiled_boxes(df, table)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
