@@ -80,10 +80,10 @@ def _one_decimal(number: str) -> str:
     return f"CASE WHEN {tie} THEN {up} ELSE printf('%.1f', {number}) END"
 
 
-def _in_boxes(lat: str, lon: str) -> str:
+def _in_boxes(lat: str, lon: str, codes: tuple[str, ...] | None = None) -> str:
     return "(" + " OR ".join(
         f"({lat} BETWEEN {s} AND {n} AND {lon} BETWEEN {w} AND {e})"
-        for _, s, n, w, e in COUNTRY_BOXES) + ")"
+        for code, s, n, w, e in COUNTRY_BOXES if codes is None or code in codes) + ")"
 
 
 def _quoted(text: str) -> str:
@@ -160,6 +160,19 @@ SELECT r.region, a.product,
 FROM landed_a a JOIN landed_days ON TRUE
  JOIN regions r ON a.lat BETWEEN r.s AND r.n AND a.lon BETWEEN r.w AND r.e
 GROUP BY ALL""",
+    # days of planned chunks without a file: it failed, or it has no row
+    "missing_a": """
+SELECT r.region, p.product, c.chunk_start + CAST(k AS INT) AS day
+FROM regions r JOIN products p ON TRUE
+ JOIN (SELECT *, unnest(generate_series(0, chunk_days - 1)) AS k FROM landed_chunks) c ON TRUE
+ CROSS JOIN landed_days
+WHERE NOT EXISTS (SELECT 1 FROM landed_counts l WHERE l.region = r.region
+  AND l.product = p.product AND l.chunk_start = c.chunk_start
+  AND NOT ((date_diff('day', first_day, c.chunk_start) // 5) % 3 = 1
+   AND p.product = 'VIIRS_SNPP_NRT'))
+ AND NOT EXISTS (SELECT 1 FROM landed_a a WHERE a.d = c.chunk_start + CAST(k AS INT)
+  AND day(a.d) = 8 AND a.product = p.product AND p.product = 'VIIRS_SNPP_NRT'
+  AND a.lat BETWEEN r.s AND r.n AND a.lon BETWEEN r.w AND r.e)""",
     "site_days": """
 SELECT CAST(round(latitude) AS BIGINT) AS lat_deg, CAST(round(longitude) AS BIGINT) AS lon_deg,
  min(CAST(make_timestamp(sec * 1000000) AS DATE)) AS first_day,
@@ -194,6 +207,7 @@ _QUERIES: dict[str, str] = {
     "residual_after_dedup":
         "SELECT count(DISTINCT p.id) AS residual FROM silver p JOIN silver q ON p.id < q.id"
         f" AND abs(p.sec - q.sec) <= 21600 AND {_metres('p', 'q')} <= 1006.0",
+    "residual_before_dedup": "SELECT count(*) AS residual FROM silver_dominated",
     "candidates_scored": """
 SELECT firms_detection_id, acled_event_id, fire_lat, fire_lon, fire_s,
  round(CAST(fire_frp AS DOUBLE), 4) AS fire_frp, fire_confidence, event_lat, event_lon, event_s,
@@ -290,8 +304,35 @@ FROM (SELECT c.position, c.country, count(b.country) AS n
     "feed_key_stability": """
 SELECT count(*) AS keys, count(*) AS ids, CAST(0 AS BIGINT) AS unstable
 FROM (SELECT DISTINCT acq_s, lat, lon, sat FROM routed_a WHERE reason = 'ok')""",
+    "feed_a_from_files": """
+SELECT DISTINCT acq_s, lat AS latitude, lon AS longitude,
+ CAST(CAST(TRY_CAST(bright_ti4 AS DOUBLE) AS FLOAT) AS DOUBLE) AS bright_ti4,
+ round(CAST(CAST(TRY_CAST(nullif(frp, '') AS DOUBLE) AS FLOAT) AS DOUBLE), 4) AS frp, sat AS satellite,
+ nullif(confidence, '') AS confidence, left(daynight, 1) AS daynight, kind AS type, version
+FROM routed_a WHERE reason = 'ok'""",
+    "feed_a_malformed": """
+SELECT CASE WHEN daynight = 'N' AND (bright_ti4 LIKE '%5' OR bright_ti4 LIKE '%7') THEN 'malformed'
+ ELSE reason END AS reason, count(*) AS n FROM routed_a GROUP BY ALL""",
+    "export_order": """
+SELECT row_number() OVER (ORDER BY score_display DESC, acled_event_id) AS place,
+ round(map_lat, 5) AS map_lat, round(map_lon, 5) AS map_lon,
+ round(round(score_display, 5), 3) AS score_display FROM map""",
+    "missing_ranges": """
+SELECT region, product, CAST(min(day) AS VARCHAR) AS first_day, CAST(max(day) AS VARCHAR) AS last_day,
+ count(*) AS days
+FROM (SELECT *, day - CAST(row_number() OVER (PARTITION BY region, product ORDER BY day) AS INT) AS island
+ FROM missing_a)
+GROUP BY region, product, island""",
     "in_any_box": "SELECT id, latitude, longitude FROM detections"
                   f" WHERE {_in_boxes('latitude', 'longitude')}",
+    "in_tiled_boxes": f"""
+SELECT id FROM detections d WHERE {_in_boxes('latitude', 'longitude', ('UP', 'SY', 'KU'))}
+ OR EXISTS (SELECT 1 FROM reports r WHERE r.id % 3 = 0
+ AND d.latitude BETWEEN r.latitude - CAST(0.05 AS DOUBLE) AND r.latitude + CAST(0.05 AS DOUBLE)
+ AND d.longitude BETWEEN r.longitude - CAST(0.05 AS DOUBLE)
+  AND r.longitude + CAST(0.05 AS DOUBLE))""",
+    "boxes_from_clustered": "SELECT id, latitude, longitude FROM detections"
+                            f" WHERE {_in_boxes('latitude', 'longitude', ('UP', 'RS', 'KU'))}",
     "in_box_table": """
 SELECT id FROM detections d WHERE EXISTS (SELECT 1 FROM reports r
  WHERE d.latitude BETWEEN r.latitude - CAST(0.05 AS DOUBLE) AND r.latitude + CAST(0.05 AS DOUBLE)
@@ -330,6 +371,15 @@ UNION ALL
 SELECT firms_detection_id, acled_event_id, round(CAST(score AS DOUBLE), 6) FROM pairs_2 b
 WHERE NOT EXISTS (SELECT 1 FROM pairs_1 a WHERE a.firms_detection_id = b.firms_detection_id
  AND a.acled_event_id = b.acled_event_id)""",
+    "merge_partitioned": """
+SELECT id, round(CAST(frp AS DOUBLE), 4) AS frp,
+ CAST(CAST(make_timestamp(sec * 1000000) AS DATE) AS VARCHAR) AS day, 'one' AS batch FROM batch_1
+UNION ALL
+SELECT id, round(CAST(frp AS DOUBLE), 4),
+ CAST(CAST(make_timestamp(sec * 1000000) AS DATE) AS VARCHAR), 'two' FROM batch_2 b
+WHERE NOT EXISTS (SELECT 1 FROM batch_1 a WHERE a.id = b.id)""",
+    "serving_view_live": _MAP_SELECT.format("dense_map"),
+    "map_incremental": _MAP_SELECT.format("dense_map"),
     "silver_schema_cast": """
 SELECT id, CAST(frp AS DOUBLE) AS frp,
  CAST(CAST(id / CAST(3 AS DOUBLE) AS FLOAT) AS DOUBLE) AS bright_ti4, id % 4 AS type,
@@ -391,6 +441,10 @@ def _needed(text: str) -> list[str]:
     return [name for name in _PARTS if name in wanted]
 
 
+_QUERIES["silver_across_batches"] = _QUERIES["silver_table"] = _QUERIES["silver_dedup"]
+_QUERIES["feed_b_from_pages"] = _QUERIES["feed_b_normalised"]
+
+
 def oracle_sql() -> dict[str, str]:
     """Complete statements: each text with the parts it needs as a WITH list."""
     statements = {}

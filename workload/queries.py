@@ -6,25 +6,30 @@ compared across engines. Nullable integers are filled for the same reason.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from skyground import fixed_values as V
 from skyground.functions.clock import batch_days, epoch_s
 from skyground.functions.parsing import decimal, key_hash, moment, settled, stripped
-from skyground.operators import boxes, checks, exact, merge, ranking, serving
+from skyground.operators import boxes, checks, exact, merge, ranking, serving, tiles
 from skyground.operators.correlate import PAIR_COLUMNS, correlate
 from skyground.operators.counts import counts_running
 from skyground.operators.proximity import (
     confident, dominated_ids, proximity_dedup, residual_pairs,
 )
-from skyground.plans import requests
-from skyground.plans.stages import stored
-from skyground.schemas import DETECTIONS, conform
-from skyground.sources import export, feeds
-from skyground.sources.tables import PAIR_KEY
+from skyground.plans import borders, incremental, ledger, requests
+from skyground.plans.stages import shared_folder, stored
+from skyground.schemas import DETECTIONS, REPORTS, conform
+from skyground.sources import batches, clustered, export, feeds, landed, views
+from skyground.sources.tables import (
+    CORRELATIONS_GOLD, DETECTIONS_BRONZE, DETECTIONS_SILVER, PAIR_KEY, ensure_tables, qualified,
+    write_silver,
+)
 
 from . import fixtures as X
 
@@ -84,7 +89,11 @@ def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_dedup(spark, sf_dir):
-    return _silver(spark, sf_dir).select(
+    return _silver_columns(_silver(spark, sf_dir))
+
+
+def _silver_columns(silver: DataFrame) -> DataFrame:
+    return silver.select(
         "id", epoch_s(F.col("acq_datetime")).alias("acq_s"), "latitude", "longitude",
         _rounded("frp", 4), "confidence")
 
@@ -100,6 +109,27 @@ def residual_after_dedup(spark, sf_dir):
         "id", "latitude", "longitude", "acq_datetime"), "silver"))
 
 
+@query
+def silver_across_batches(spark, sf_dir):
+    """Batches of five days, the later half first, each compared with the ends of the others."""
+    schema, rows = _own_schema("borders"), confident(X.detections(spark, sf_dir))
+    step = F.floor(epoch_s(F.col("acq_datetime")) / (5 * 86_400))
+    silver, taken_back = [], []
+    for k in sorted((r[0] for r in rows.select(step).distinct().collect()), key=lambda k: (k % 2, k)):
+        kept, back = borders.dedup_batch(spark, schema, f"b{k}", rows.filter(step == k))
+        silver.append(kept)
+        taken_back.append(back)
+    whole = reduce(DataFrame.unionByName, silver).join(
+        reduce(DataFrame.unionByName, taken_back), "id", "left_anti")
+    return _silver_columns(whole)
+
+
+@query
+def residual_before_dedup(spark, sf_dir):
+    """The audit where there is something to find."""
+    return residual_pairs(confident(X.detections(spark, sf_dir)))
+
+
 # Correlation and serving
 
 @query
@@ -232,7 +262,11 @@ def feed_a_quality(spark, sf_dir):
 
 @query
 def feed_b_normalised(spark, sf_dir):
-    return feeds.normalise_reports(X.raw_reports(spark, sf_dir)).select(
+    return _reports_compared(feeds.normalise_reports(X.raw_reports(spark, sf_dir)))
+
+
+def _reports_compared(reports: DataFrame) -> DataFrame:
+    return reports.select(
         "global_event_id", F.col("event_date").cast("string").alias("event_date"),
         epoch_s(F.col("event_datetime")).alias("event_s"), "event_type", "sub_event_type",
         "description", _filled("num_sources"), "actor1_name", "actor2_name",
@@ -281,6 +315,110 @@ def feed_key_stability(spark, sf_dir):
         F.sum("unstable").alias("unstable"))
 
 
+# Landed files, written to the shared folder and read back
+
+def _landing(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/landing-{name}-{uuid.uuid4().hex}"
+
+
+def _land_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Text files that all begin with the header."""
+    # the number of a row within its part
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    lines.select(F.when(first, F.concat(F.lit(f"{header}\n"), F.col("value"))).otherwise(
+        F.col("value"))).write.text(path)
+
+
+def _broken() -> Column:
+    """'short' and 'long' for some rows."""
+    own, night = F.col("bright_ti4"), F.col("daynight") == "N"
+    return F.when(night & own.endswith("5"), "short").when(
+        night & own.endswith("7"), "long").otherwise("")
+
+
+@query
+def feed_a_from_files(spark, sf_dir):
+    """Files of two products with other columns in another order, through the normaliser and the
+    batch that the daily job reads."""
+    path, raw = _landing(spark, "a"), X.raw_detections(spark, sf_dir)
+    for name, own, columns in (("one", F.col("satellite") == "N", raw.columns),
+                               ("two", F.col("satellite") != "N", [*reversed(raw.columns)])):
+        raw.filter(own).select(*columns).write.options(
+            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        ).csv(f"{path}/{name}")
+    rows = feeds.normalise_detections(landed.read_detection_files(spark, path))
+    landed.write_batch(rows, f"{path}-batch", DETECTIONS)
+    return landed.read_batch(spark, f"{path}-batch", DETECTIONS).select(
+        epoch_s(F.col("acq_datetime")).alias("acq_s"), "latitude", "longitude",
+        F.col("bright_ti4").cast("double").alias("bright_ti4"), _rounded("frp", 4), "satellite",
+        "confidence", "daynight", _filled("type"), "version")
+
+
+@query
+def feed_a_malformed(spark, sf_dir):
+    """Reasons of records some of which lack their last field or have one too many."""
+    path, raw = _landing(spark, "malformed"), X.raw_detections(spark, sf_dir)
+    fields = [F.when(F.col(c).contains(","), F.concat(F.lit('"'), F.col(c), F.lit('"'))).otherwise(
+        F.coalesce(c, F.lit(""))) for c in raw.columns]
+    kind = _broken()
+    text = F.when(kind == "short", F.concat_ws(",", *fields[:-1])).when(
+        kind == "long", F.concat_ws(",", *fields, F.lit("extra"))).otherwise(
+        F.concat_ws(",", *fields))
+    _land_lines(raw.select(text.alias("value")), ",".join(raw.columns), path)
+    rows = landed.read_detection_files(spark, path, malformed=True, pattern="part-*")
+    return feeds.reason_counts(feeds.route_detections(rows))
+
+
+@query
+def feed_b_from_pages(spark, sf_dir):
+    """Pages of fifty reports and one without any, through the normaliser and the batch."""
+    path, raw = _landing(spark, "b"), X.raw_reports(spark, sf_dir)
+    paged = raw.withColumn("page", F.pmod(F.xxhash64("event_id_cnty"), F.lit(40)))
+    whole = paged.groupBy("page").agg(F.collect_list(F.struct(*raw.columns)).alias("data"))
+    whole.select("page", F.to_json(F.struct("data")).alias("value")).repartition(8, "page").write.partitionBy(
+        "page").text(f"{path}/pages")
+    spark.range(1).select(F.lit('{"count": 0}').alias("value")).write.text(f"{path}/pages/page=none")
+    rows = feeds.normalise_reports(landed.read_report_files(spark, f"{path}/pages"))
+    landed.write_batch(rows, f"{path}-batch", REPORTS)
+    return _reports_compared(landed.read_batch(spark, f"{path}-batch", REPORTS))
+
+
+@query
+def export_order(spark, sf_dir):
+    """The exported files read back: every row's place in them."""
+    path = _landing(spark, "export")
+    export.write_export(_view(spark, sf_dir), path)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"), "value")
+    place = F.row_number().over(Window.orderBy("file", "line"))
+    found = F.from_json("value", "map_lat double, map_lon double, score_display double")
+    return lines.select(place.cast("bigint").alias("place"), found.alias("r")).select(
+        "place", _rounded("r.map_lat", 5, "map_lat"), _rounded("r.map_lon", 5, "map_lon"),
+        _rounded("r.score_display", 3, "score_display"))
+
+
+@query
+def missing_ranges(spark, sf_dir):
+    """Planned days of the detection feed that did not land: some chunks failed, some had no rows."""
+    path, days, rows = _landing(spark, "chunks"), *_landed_rows(spark, sf_dir)
+    planned = requests.request_list(days)
+    first = days.select("first_day").scalar()
+    chunk = F.floor(F.date_diff(F.col("d"), first) / V.MAX_DAYS_PER_REQUEST).cast("int")
+    start = F.date_add(first, chunk * V.MAX_DAYS_PER_REQUEST)
+    pulled = rows.withColumn("chunk_start", start).join(
+        planned.select("region", "product", "chunk_start", "chunk_days"),
+        ["region", "product", "chunk_start"])
+    failed = (chunk % 3 == 1) & (F.col("product") == V.RECENT_PRODUCTS[0])
+    pulled.filter(~failed).select(
+        "region", "product", "chunk_start", "chunk_days", "latitude", "longitude").write.partitionBy(
+        "region", "product", "chunk_start", "chunk_days").csv(path)
+    files = ledger.file_ledger(spark, path)
+    return ledger.missing_ranges(planned, files, ledger.row_ledger(
+        rows.filter((F.col("product") == V.RECENT_PRODUCTS[0]) & (F.dayofmonth("d") == 8)), "d")).select(
+        "region", "product", F.col("first_day").cast("string").alias("first_day"),
+        F.col("last_day").cast("string").alias("last_day"), "days")
+
+
 # Boxes and request planning
 
 @query
@@ -296,6 +434,27 @@ def in_box_table(spark, sf_dir):
     return boxes.keep_in_box_table(X.detections(spark, sf_dir), around).select("id")
 
 
+@query
+def in_tiled_boxes(spark, sf_dir):
+    """Detections in boxes of all sizes: a tenth of a degree around reports, and three countries."""
+    around = X.reports(spark, sf_dir).filter("id % 3 = 0").select(
+        (F.col("latitude") - 0.05).alias("min_lat"), (F.col("latitude") + 0.05).alias("max_lat"),
+        (F.col("longitude") - 0.05).alias("min_lon"), (F.col("longitude") + 0.05).alias("max_lon"))
+    some = [tuple(map(float, b[1:])) for b in V.COUNTRY_BOXES if b[0] in ("UP", "SY", "KU")]
+    whole = spark.createDataFrame(some, "min_lat double, max_lat double, min_lon double, max_lon double")
+    return tiles.keep_in_tiled_boxes(
+        X.detections(spark, sf_dir), around.unionByName(whole)).select("id")
+
+
+@query
+def boxes_from_clustered(spark, sf_dir):
+    """The detections of three countries, from files in a space-filling order."""
+    path = _landing(spark, "clustered")
+    clustered.write_clustered(X.detections(spark, sf_dir), path, files=24)
+    some = [b for b in V.COUNTRY_BOXES if b[0] in ("UP", "RS", "KU")]
+    return clustered.read_boxes(spark, path, some).select("id", "latitude", "longitude")
+
+
 @query
 def region_pulls(spark, sf_dir):
     return boxes.pull_regions(X.detections(spark, sf_dir)).select("region", "id")
@@ -315,24 +474,29 @@ def date_chunks(spark, sf_dir):
         F.col("chunk_days").cast("bigint").alias("chunk_days"))
 
 
-@query
-def request_list(spark, sf_dir):
-    """Every region x product x chunk of the landed days, with its rows and a running total."""
+def _landed_rows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """First and last landed day, and a row for each region a dated row lies in, with its product."""
     raw = X.raw_detections(spark, sf_dir)
-    landed = settled(raw.select(
+    dated = stored(settled(raw.select(
         decimal(stripped(F.col("latitude"))).alias("latitude"),
         decimal(stripped(F.col("longitude"))).alias("longitude"), "satellite",
         moment(F.col("acq_date"), F.col("acq_time")).cast("date").alias("d"),
-    )).filter(F.col("d").isNotNull())
-    days = landed.agg(F.min("d").alias("first_day"), F.max("d").alias("last_day"))
+    )).filter(F.col("d").isNotNull()), "dated")
+    days = dated.agg(F.min("d").alias("first_day"), F.max("d").alias("last_day"))
+    return days, boxes.pull_regions(dated).withColumn(
+        "product", F.when(F.col("satellite") == "N", V.RECENT_PRODUCTS[0])
+        .otherwise(V.RECENT_PRODUCTS[1]))
+
+
+@query
+def request_list(spark, sf_dir):
+    """Every region x product x chunk of the landed days, with its rows and a running total."""
+    days, rows = _landed_rows(spark, sf_dir)
     tasks = requests.request_list(days)
     first = days.select("first_day").scalar()
     whole_chunks = F.floor(F.date_diff(F.col("d"), first) / V.MAX_DAYS_PER_REQUEST).cast("int")
     counts = (
-        boxes.pull_regions(landed)
-        .withColumn("product", F.when(F.col("satellite") == "N", V.RECENT_PRODUCTS[0])
-                    .otherwise(V.RECENT_PRODUCTS[1]))
-        .withColumn("chunk_start", F.date_add(first, whole_chunks * V.MAX_DAYS_PER_REQUEST))
+        rows.withColumn("chunk_start", F.date_add(first, whole_chunks * V.MAX_DAYS_PER_REQUEST))
         .groupBy("region", "product", "chunk_start").agg(F.count(F.lit(1)).alias("landed"))
     )
     so_far = Window.partitionBy("region", "product").orderBy("chunk_start").rowsBetween(
@@ -391,6 +555,66 @@ def merge_pairs_first_wins(spark, sf_dir):
         *PAIR_KEY, _rounded("score", 6))
 
 
+def _own_schema(name: str) -> str:
+    """A schema of this run alone; its tables are in the warehouse, which the cluster shares."""
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
+def _by_fire_day(pairs: DataFrame) -> list[DataFrame]:
+    """Pairs in three batches of days, the last of which repeats a part of the second."""
+    on_day = F.col("fire_acq_datetime").cast("date")
+    first, second = (F.lit(d).cast("date") for d in (SECOND_BATCH_FROM, FIRST_BATCH_UNTIL))
+    return [pairs.filter(on_day < first), pairs.filter(on_day.between(first, second)),
+            pairs.filter(on_day >= second)]
+
+
+@query
+def merge_partitioned(spark, sf_dir):
+    """Two overlapping batches in tables by day and batch; the first one is run twice."""
+    schema = _own_schema("merged")
+    batches.ensure_partitioned(spark, schema)
+    first, second = _two_batches(spark, sf_dir)
+    for name, rows in (("one", first), ("one", first), ("two", second)):
+        batches.merge_batch(spark, schema, DETECTIONS_BRONZE, rows, name)
+    return spark.table(qualified(schema, DETECTIONS_BRONZE)).select(
+        "id", _rounded("frp", 4), F.col("day").cast("string").alias("day"), "batch")
+
+
+@query
+def serving_view_live(spark, sf_dir):
+    """The view is made over the first batch of pairs and read after the others were inserted."""
+    schema = _own_schema("live")
+    batches.ensure_partitioned(spark, schema)
+    for k, rows in enumerate(_by_fire_day(_gold(spark, sf_dir, dense=True))):
+        batches.merge_batch(spark, schema, CORRELATIONS_GOLD, rows, f"batch{k}")
+        if k == 0:
+            views.serving_view(spark, schema)
+    return _map_columns(views.read_map(spark, schema))
+
+
+@query
+def map_incremental(spark, sf_dir):
+    """The map table after three batches of pairs, each of which updates it."""
+    schema = _own_schema("map")
+    batches.ensure_partitioned(spark, schema)
+    for k, rows in enumerate(_by_fire_day(_gold(spark, sf_dir, dense=True))):
+        batches.merge_batch(spark, schema, CORRELATIONS_GOLD, rows, f"batch{k}")
+        incremental.update_map(
+            spark, schema, batches.batch_rows(spark, schema, CORRELATIONS_GOLD, f"batch{k}"))
+    return _map_columns(incremental.published_map(spark, schema))
+
+
+@query
+def silver_table(spark, sf_dir):
+    """Silver written into its table twice, the second time over all rows, and read by name."""
+    schema = _own_schema("silver")
+    ensure_tables(spark, schema)
+    detections = X.detections(spark, sf_dir)
+    write_silver(spark, schema, detections.limit(10))
+    write_silver(spark, schema, proximity_dedup(confident(detections)))
+    return _silver_columns(spark.sql(f"SELECT * FROM {qualified(schema, DETECTIONS_SILVER)}"))
+
+
 @query
 def silver_schema_cast(spark, sf_dir):
     """A batch with wide types, as other writers leave it, in the types of the table."""
@@ -451,7 +675,7 @@ def table_health(spark, sf_dir):
     reports = X.reports(spark, sf_dir)
     return checks.table_health({
         "detections": X.detections(spark, sf_dir), "reports": reports, "silver": silver,
-        "pairs": correlate(silver, reports),
+        "pairs": stored(correlate(silver, reports), "pairs"),
     }, "pairs")
 
 
