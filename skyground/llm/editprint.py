@@ -27,9 +27,11 @@ from ..plans.stages import stored
 from .text import pieces
 
 SAMPLES, SEED = 64, 7
-LIKE = 0.5
+#: Near pairs are at least this alike. At this likeness 95 % of them share a band if samples are
+#: independent: 1 - (1 - 0.7 ** 6) ** 24; above it more.
+LIKE = 0.7
 #: Bands: so many of the last octaves, bands in each, samples in a band.
-BAND_OCTAVES, BANDS, BAND_SAMPLES = 2, 12, 8
+BAND_OCTAVES, BANDS, BAND_SAMPLES = 2, 12, 6
 #: Octave -1 is step 0 alone.
 _FIRST_OCTAVE, _LAST_OCTAVE = -1, 40
 #: Lines of a fingerprint at most: all octaves.

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..plans.stages import stored
 from .text import pieces
 
 ORDERS, CLASSES = (3,), 1 << 15
@@ -28,33 +29,46 @@ _NO_LETTERS = re.compile(r"[\W\d_]+")
 #: Characters of a text looked at together; counts of longer texts are summed over stretches.
 _STRETCH = 1 << 20
 NONE = "und"
+#: The model takes 128 KB a language on the driver and in every worker.
+MOST_LANGS = 1_000
 
 
 def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
+def _letters(text: str) -> str:
+    return f" {_NO_LETTERS.sub(' ', text.lower()).strip()} "
+
+
+def _classes(plain: str, k: int) -> np.ndarray:
+    """The class of every n-gram of the order with number ``k``."""
+    order = ORDERS[k]
+    points = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    n = len(points) - order + 1
+    if n <= 0:
+        return np.empty(0, dtype=np.int64)
+    value = np.zeros(n, dtype=np.uint64)
+    for i in range(order):
+        value = value * np.uint64(0x100000001B3) + points[i:i + n]
+    value *= np.uint64(0x9E3779B97F4A7C15)
+    return (value >> np.uint64(64 - 15)).astype(np.int64) + k * CLASSES
+
+
 def ngram_classes(text: str) -> np.ndarray:
     """The class of every n-gram. Classes of one order are a range of their own."""
-    plain = f" {_NO_LETTERS.sub(' ', text.lower()).strip()} "
-    points = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    found = []
-    for k, order in enumerate(ORDERS):
-        n = len(points) - order + 1
-        if n <= 0:
-            continue
-        value = np.zeros(n, dtype=np.uint64)
-        for i in range(order):
-            value = value * np.uint64(0x100000001B3) + points[i:i + n]
-        value *= np.uint64(0x9E3779B97F4A7C15)
-        found.append((value >> np.uint64(64 - 15)).astype(np.int64) + k * CLASSES)
-    return np.concatenate(found) if found else np.empty(0, dtype=np.int64)
+    plain = _letters(text)
+    return np.concatenate([_classes(plain, k) for k in range(len(ORDERS))])
 
 
 def ngram_counts(text: str) -> np.ndarray:
-    total = np.zeros(len(ORDERS) * CLASSES, dtype=np.int64)
-    for start in range(0, max(1, len(text)), _STRETCH):
-        total += np.bincount(ngram_classes(text[start:start + _STRETCH]), minlength=len(total))
+    """How often each class occurs. Stretches of a long text overlap by what an n-gram needs, so its
+    counts are those of the whole."""
+    plain, total = _letters(text), np.zeros(len(ORDERS) * CLASSES, dtype=np.int64)
+    for k, order in enumerate(ORDERS):
+        for start in range(0, max(1, len(plain) - order + 1), _STRETCH):
+            total += np.bincount(_classes(plain[start:start + _STRETCH + order - 1], k),
+                                 minlength=len(total))
     return total
 
 
@@ -62,8 +76,9 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """The languages in order and the log-probabilities of the classes, one row a language.
 
     ``docs`` has ``text`` and ``lang``; rows without one of them are left out. Every task sums its
-    counts, so that one row for each language and task is shuffled; languages are few, and their
-    rows of fixed size come to the driver. Without labelled texts there are no languages.
+    counts, so that a row for each language, class and task is shuffled at most. The model is a row of
+    fixed size a language and comes to the driver; more than ``MOST_LANGS`` different labels raise an
+    error. Without labelled texts there are no languages.
     """
     width = len(ORDERS) * CLASSES
 
@@ -72,10 +87,8 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         for batch in (part for whole in batches for part in pieces(whole)):
             for lang, text in zip(
                     batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                own = totals.setdefault(lang, np.zeros(width, dtype=np.int64))
-                for start in range(0, len(text), _STRETCH):
-                    own += np.bincount(
-                        ngram_classes(text[start:start + _STRETCH]), minlength=width)
+                totals.setdefault(lang, np.zeros(width, dtype=np.int64))
+                totals[lang] += ngram_counts(text)
         for lang, counts in totals.items():
             touched = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -84,8 +97,12 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
     counted = docs.select("lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(
         run, "lang string, class bigint, n bigint")
+    summed = stored(counted.groupBy("lang", "class").agg(F.sum("n").alias("n")), "ngrams")
+    known = summed.select("lang").distinct().count()
+    if known > MOST_LANGS:
+        raise ValueError(f"{known} languages are labelled; at most {MOST_LANGS} can be told apart")
     # as many rows as languages times classes at most
-    rows = counted.groupBy("lang", "class").agg(F.sum("n").alias("n")).toPandas()
+    rows = summed.toPandas()
     langs = sorted(rows["lang"].unique())
     counts = np.full((len(langs), width), 0.5)
     at = {lang: i for i, lang in enumerate(langs)}

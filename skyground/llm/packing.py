@@ -11,6 +11,7 @@ which the pieces of the emptiest sequences of all groups are packed anew, in few
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..plans.stages import stored
-from .text import pieces as cut_batch
+from .text import pieces as cut_batch, spare
 
 SEQUENCE, SEPARATOR = 4096, 1
 #: Tokens of one group: it has about 8,000 sequences, and its pieces are some tens of MB.
 GROUP_TOKENS = 32 << 20
+#: Pieces of one group, since many may have a token each; a task places them in some seconds.
+GROUP_PIECES = 1 << 18
 _KNOWN_WORDS = 800_000
 
 # Texts of Latin letters, digits and ASCII marks only: lower case, blanks and the tokenizer's own cut
@@ -38,6 +41,28 @@ _CUT = re.compile(
     f"[{_LETTERS}]+|[{_NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^\\s{_LETTERS}{_NUMBERS}]+")
 
 
+#: The settings of a tokenizer file that the cut above stands for; texts of any other go to it whole.
+_CUT_LIKE = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {
+            "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None, "truncation": None, "padding": None,
+}
+
+
+def _cuts_alike(tokenizer) -> bool:
+    """Whether the ids of what stands between blanks make up those of a text: the settings are known,
+    no merge crosses a cut, and only texts with ``<|`` can hold a special token."""
+    spec = json.loads(tokenizer.to_str())
+    return all(spec.get(k) == v for k, v in _CUT_LIKE.items()) and all(
+        "<|" in t["content"] for t in spec["added_tokens"]) and not spec["model"].get("dropout")
+
+
 def _plain(text: str) -> bool:
     if "<|" in text:
         return False
@@ -50,13 +75,14 @@ class Encoder:
     """Token ids of texts, the same as the tokenizer's.
 
     Its cut never crosses a blank, so the ids of what stands between blanks are kept for the next
-    time; a full cache is emptied.
+    time; a full cache is emptied. A tokenizer that cuts otherwise gets every text whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cuts_alike = _cuts_alike(self.tokenizer)
         self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> list[int]:
@@ -81,7 +107,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Little-endian unsigned 32-bit ids of each text."""
-        plain = [_plain(t) for t in texts]
+        plain = [self.cuts_alike and _plain(t) for t in texts]
         found = [t.lower().split() if p else [] for t, p in zip(texts, plain)]
         self._learn(found)
         ids = self.known.__getitem__
@@ -187,21 +213,24 @@ def _pack_groups(items: DataFrame, groups: int, size: int) -> DataFrame:
         pack, "key bigint, length bigint, sequence_id bigint, offset bigint, used bigint")
 
 
-def pack(pieces: DataFrame, size: int = SEQUENCE, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def pack(pieces: DataFrame, size: int = SEQUENCE, group_tokens: int = GROUP_TOKENS,
+         group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` with ``sequence_id`` (any number) and ``offset``: gapless from 0, each sequence at
     most ``size`` tokens. ``pieces`` needs a ``length`` from 1 to ``size``; an empty table gives an
-    empty result.
+    empty result. Columns that are called ``sequence_id`` or ``offset`` already are replaced.
 
-    Every round packs all items of groups of about ``group_tokens`` tokens; sequences it leaves less
+    Every round packs all items of groups of about ``group_tokens`` tokens, and ``group_pieces``
+    pieces at most on average; sequences it leaves less
     than nearly full go to the next round with all groups' others. The last round has one group of
     bounded size.
     """
-    numbered = stored(pieces.withColumn("__key", F.monotonically_increasing_id()), "pieces")
-    todo = numbered.select(F.col("__key").alias("key"), "length")
+    own = spare([*pieces.columns, "key", "sequence_id", "offset"], "number")
+    numbered = stored(pieces.withColumn(own, F.monotonically_increasing_id()), "pieces")
+    todo = numbered.select(F.col(own).alias("key"), "length")
     done, first = None, 0
     while True:
-        total = todo.agg(F.sum("length")).first()[0] or 0
-        groups = -(-total // group_tokens) or 1
+        total, rows = todo.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
+        groups = max(-(-total // group_tokens), -(-rows // group_pieces), 1)
         placed = stored(_pack_groups(todo, groups, size), "packed").withColumn(
             "sequence_id", F.col("sequence_id") + first)
         # one group has nothing to share with others
@@ -219,7 +248,9 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, group_tokens: int = GROUP_TOKE
             done = done.unionByName(again.select("key", "sequence_id", "offset"))
             break
         todo = again.select("key", "length")
-    return numbered.join(done, numbered["__key"] == done["key"]).drop("__key", "key")
+    kept = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    return numbered.select(*kept, own).join(done.withColumnRenamed("key", own), own).select(
+        *kept, "sequence_id", "offset")
 
 
 def op2_pack(spark, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import let, words
+from .text import let, spare, words
 
 #: Fixed values of the rules.
 SYMBOLS = r"[#*$%&|<>]"
@@ -88,8 +88,8 @@ def line_fails(line: Column) -> Column:
     return shouts | exclaims | symbols | unmarked | menu | known | stutters
 
 
-def quality(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, then a struct ``__quality`` with the counts and the verdict.
+def quality(docs: DataFrame, name: str = "__quality") -> DataFrame:
+    """All columns of ``docs``, then a struct ``name`` with the counts and the verdict.
 
     ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost_chars, base_failed, kept``;
     ``cleaned`` is the text without the lines that fail. A null or empty text has no words and
@@ -118,7 +118,7 @@ def quality(docs: DataFrame) -> DataFrame:
         "base_failed",
         (~F.col("base_failed")
          & (100 * F.col("lost_chars") <= MAX_LOST_PERCENT * F.col("n_chars"))).alias("kept"),
-        "cleaned").alias("__quality"))
+        "cleaned").alias(name))
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:
@@ -131,5 +131,6 @@ def op4_quality(spark, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that pass, with ``text`` without the lines that fail."""
-    return quality(docs).filter("__quality.kept").withColumn("text", F.col("__quality.cleaned")).drop(
-        "__quality")
+    name = spare(docs.columns, "judged")
+    judged = quality(docs, name).filter(F.col(f"{name}.kept"))
+    return judged.withColumn("text", F.col(f"{name}.cleaned")).drop(name)

@@ -20,7 +20,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .spans import by_start, count_of, listed, spans
-from .text import let
+from .text import let, spare
 
 #: A query: a trigram, ("all", queries), ("any", queries), or True where nothing is mandatory.
 Query = str | tuple | bool
@@ -168,8 +168,8 @@ def _long_enough(rule: Rule):
     return valid
 
 
-def secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """All columns of ``docs`` and ``__spans``: the secrets of each row by start and then kind.
+def secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, name: str = "__spans") -> DataFrame:
+    """All columns of ``docs`` and ``name``: the secrets of each row by start and then kind.
 
     Spans cover the whole match. Rows that repeat an id share its postings, so each is searched if
     any of them is a candidate, and gives its own spans; rows without an id do so too. A null text is
@@ -177,20 +177,20 @@ def secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     trigrams = sorted(set().union(*map(_terms, queries.values())))
+    own_id, kinds, plain = (spare([*docs.columns, name], c) for c in ("own_id", "kinds", "plain"))
     found = candidates(postings(docs, trigrams), rules).select(
-        F.col("doc_id").alias("__id"), F.col("kinds").alias("__kinds"))
-    marked = docs.join(found, docs["doc_id"].eqNullSafe(F.col("__id")), "left").withColumn(
-        "__text", F.coalesce("text", F.lit("")))
+        F.col("doc_id").alias(own_id), F.col("kinds").alias(kinds))
+    marked = docs.join(found, docs["doc_id"].eqNullSafe(F.col(own_id)), "left").withColumn(
+        plain, F.coalesce("text", F.lit("")))
     each = []
     for rule in rules:
         gate = F.lit(True) if queries[rule.kind] is True else F.coalesce(
-            F.array_contains("__kinds", rule.kind), F.lit(False))
+            F.array_contains(kinds, rule.kind), F.lit(False))
 
-        each.append(spans(F.col("__text"), rule.kind, rule.pattern, gate, _long_enough(rule),
+        each.append(spans(F.col(plain), rule.kind, rule.pattern, gate, _long_enough(rule),
                           lambda m: F.lit(1.0)))
     return marked.withColumn(
-        "__spans", by_start(F.concat(*each), [r.kind for r in rules])).drop(
-        "__text", "__id", "__kinds")
+        name, by_start(F.concat(*each), [r.kind for r in rules])).drop(plain, own_id, kinds)
 
 
 def op10_secrets(spark, sf_dir: str) -> DataFrame:

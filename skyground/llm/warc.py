@@ -9,17 +9,22 @@ children of nodes that differ, until it reaches the damaged records.
 
 from __future__ import annotations
 
+import gzip
+import re
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..plans.stages import stored
+from ..plans.stages import shared_folder, stored
 
 FANOUT = 16
-#: Records of one archive file.
-FILE_RECORDS = 4096
+#: Records of one archive file. A task holds a file as a whole when it reads it back.
+FILE_RECORDS = 1024
 _END = "\r\n\r\n"
+_ID = re.compile(rb"WARC-Record-ID: <urn:page:(-?[0-9]{1,18})>\r\n")
 
 
 def record(uri: Column, payload: Column, number: Column) -> Column:
@@ -35,56 +40,59 @@ def record(uri: Column, payload: Column, number: Column) -> Column:
 
 
 def records(pages: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
-    """``file, ordinal, offset, length, page_id, content`` of the pages as archive files.
-
-    A file holds the pages of a range of ``file_records`` ids, in their order, ties by content; pages
-    without an id are dealt to files -1 to -1024 by a hash. A null page has an empty body. ``length`` counts the
-    bytes with the end of the record, so that the next record's offset is the sum.
-    """
-    placed = pages.select(
-        F.coalesce(F.floor(F.col("page_id") / file_records), -1 - F.pmod(
-            F.xxhash64("url", "html"), F.lit(1024))).cast("bigint").alias("file"),
-        F.col("page_id"), record(F.col("url"), F.col("html"), F.col("page_id")).alias("content"))
-    measured = placed.withColumn("length", F.octet_length("content").cast("bigint") + len(_END))
-    order = Window.partitionBy("file").orderBy("page_id", "content")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return measured.select(
-        "file", (F.row_number().over(order) - 1).cast("bigint").alias("ordinal"),
-        F.coalesce(F.sum("length").over(before), F.lit(0)).cast("bigint").alias("offset"),
-        "length", "page_id", "content")
+    """``file, page_id, content`` of the pages, dealt to archive files of ``file_records`` records as
+    they are read: a task fills files of its own, whatever ids the pages have, and nothing is
+    shuffled. Repeated pages and pages without an id are records like others; a null page has an empty body."""
+    number = F.monotonically_increasing_id()
+    place = F.col("__number").bitwiseAND((1 << 33) - 1)
+    return pages.select(
+        number.alias("__number"), F.col("page_id"),
+        record(F.col("url"), F.col("html"), F.col("page_id")).alias("content")).select(
+        (F.shiftright("__number", 33) * (1 << 33) + F.floor(place / file_records)).alias("file"),
+        "page_id", "content")
 
 
 def write_warc(archive: DataFrame, folder: str) -> None:
-    """One folder ``file=N`` with one archive file for each file of ``archive``. The text writer
-    puts the blank lines behind each record."""
-    archive.select("file", F.col("offset"), F.col("content").cast("string").alias("value")).repartition(
-        "file").sortWithinPartitions("file", "offset").select("file", "value").write.option(
-        "lineSep", _END).partitionBy("file").text(folder)
+    """One folder ``file=N`` with one compressed archive file for each ``file`` (0 or more) of ``archive
+    (file, content)``, whose rows of one file are in one task. The text writer puts the blank lines behind
+    each record."""
+    archive.select("file", F.col("content").cast("string").alias("value")).write.option(
+        "lineSep", _END).option("compression", "gzip").partitionBy("file").text(folder)
+
+
+def _files(spark, folder: str) -> DataFrame:
+    """``file, content``: the archive files as they are."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).filter(
+        "path RLIKE '/file=[0-9]+/part-'").select(
+        F.regexp_extract("path", r"/file=([0-9]+)/", 1).cast("bigint").alias("file"), "content")
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
+    for batch in batches:
+        for file, data in zip(batch.column("file").to_pylist(), batch.column("content").to_pylist()):
+            yield file, gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
 
 
 def read_warc(spark, folder: str) -> DataFrame:
-    """``file, ordinal, offset, length, content`` of the archive files under a folder, one task a
-    file. Bytes that are no record end the file with a record of all the rest, so that damage is
-    seen by the audit and not dropped."""
+    """``file, ordinal, offset, length, page_id, content`` of the archive files under a folder, one
+    task a file; offsets are those of the uncompressed file. Bytes that are no record end the file
+    with a record of all the rest, so that damage is seen by the audit and not dropped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, data in zip(
-                    batch.column("file").to_pylist(), batch.column("content").to_pylist()):
-                found = list(_cut(data))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([file] * len(found), pa.int64()),
-                     pa.array(range(len(found)), pa.int64()),
-                     pa.array([at for at, _, _ in found], pa.int64()),
-                     pa.array([n for _, n, _ in found], pa.int64()),
-                     pa.array([data[at:at + size] for at, _, size in found], pa.binary())],
-                    names=["file", "ordinal", "offset", "length", "content"])
-
-    whole = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).filter(
-        "path LIKE '%/part-%'").select(
-        F.regexp_extract("path", r"file=(-?[0-9]+)", 1).cast("bigint").alias("file"), "content")
-    return whole.mapInArrow(
-        run, "file bigint, ordinal bigint, offset bigint, length bigint, content binary")
+        for file, data in _opened(batches):
+            found = list(_cut(data))
+            ids = [_ID.search(data, at, at + size) for at, _, size in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([file] * len(found), pa.int64()),
+                 pa.array(range(len(found)), pa.int64()),
+                 pa.array([at for at, _, _ in found], pa.int64()),
+                 pa.array([n for _, n, _ in found], pa.int64()),
+                 pa.array([m and int(m[1]) for m in ids], pa.int64()),
+                 pa.array([data[at:at + size] for at, _, size in found], pa.binary())],
+                names=["file", "ordinal", "offset", "length", "page_id", "content"])
+
+    return _files(spark, folder).mapInArrow(run, "file bigint, ordinal bigint, offset bigint,"
+                                                 " length bigint, page_id bigint, content binary")
 
 
 def _cut(data: bytes) -> Iterator[tuple[int, int, int]]:
@@ -104,11 +112,14 @@ def _cut(data: bytes) -> Iterator[tuple[int, int, int]]:
 
 def tree(archive: DataFrame, name: str, fanout: int = FANOUT) -> list[DataFrame]:
     """The levels of the trees of all files, leaves first: ``file, node, hash, start, stop``, where
-    start and stop are the range of bytes below the node. The last level has one node a file."""
+    start and stop are the range of bytes below the node. Leaves also have ``body``, the hash of the
+    record alone, and ``page_id``. The last level has one node a file. Records are hashed where they
+    are read; only hashes move."""
+    body = F.sha2("content", 256)
     leaf = archive.select(
-        "file", F.col("ordinal").alias("node"),
-        F.sha2(F.concat(F.concat_ws(":", F.col("file").cast("string"), F.col("offset").cast("string"),
-                                    F.lit("")).cast("binary"), F.col("content")), 256).alias("hash"),
+        "file", F.col("ordinal").alias("node"), body.alias("body"), "page_id",
+        F.sha2(F.concat_ws(":", F.col("file").cast("string"), F.col("offset").cast("string"), body),
+               256).alias("hash"),
         F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("stop"))
     levels = [stored(leaf, f"{name}-leaves")]
     while True:
@@ -124,15 +135,17 @@ def tree(archive: DataFrame, name: str, fanout: int = FANOUT) -> list[DataFrame]
 
 
 def audit(a: list[DataFrame], b: list[DataFrame], fanout: int = FANOUT) -> DataFrame:
-    """``file, ordinal, start, stop, state`` of the records in which the replicas differ: ``changed``,
-    ``missing`` (only in the first) or ``extra`` (only in the second).
+    """``file, ordinal, start, stop, page_id, state`` of the records in which the replicas differ:
+    ``changed``, ``missing`` (only in the first), ``extra`` (only in the second) or ``moved`` (whole,
+    at another place of the same file). Places are those in the first replica, of extra ones in
+    the second.
 
     Goes down level by level; below the roots only children of differing nodes are read. The lower
-    tree is taken as if it had further roots of one child.
+    tree is taken as if it had further roots of one child. A record that is gone or new moves all after it; their own
+    hashes tell them from damaged ones.
     """
-    spark = a[0].sparkSession
     levels = max(len(a), len(b))
-    above = None
+    above = sides = None
     for k in range(levels - 1, -1, -1):
         sides = []
         for side in (a, b):
@@ -143,31 +156,63 @@ def audit(a: list[DataFrame], b: list[DataFrame], fanout: int = FANOUT) -> DataF
                     above, ["file", "parent"], "left_semi").drop("parent")
             sides.append(level)
         x, y = (side.alias(n) for side, n in zip(sides, "xy"))
-        differ = x.join(y, ["file", "node"], "full").filter(
-            "NOT (x.hash <=> y.hash)").select(
-            "file", "node", F.coalesce("x.start", "y.start").alias("start"),
-            F.coalesce("x.stop", "y.stop").alias("stop"),
-            F.when(F.col("x.hash").isNull(), "extra").when(F.col("y.hash").isNull(), "missing")
-            .otherwise("changed").alias("state"))
-        differ = stored(differ, f"audit-{k}")
-        above = differ.select("file", F.col("node").alias("parent"))
-    return differ.withColumnRenamed("node", "ordinal")
-
-
-def damaged(archive: DataFrame) -> DataFrame:
-    """A replica with known damage, derived from the records: one byte in 97 records of 9,973
-    changed, chosen by a hash of the place."""
-    place = F.pmod(F.xxhash64("file", "ordinal"), F.lit(9973))
-    content = F.col("content")
-    middle = F.floor(F.octet_length(content) / 2).cast("int")
-    changed = F.concat(F.substring(content, F.lit(1), middle), F.lit("\x00").cast("binary"),
-                       F.substring(content, middle + 2, F.octet_length(content)))
-    return archive.withColumn("content", F.when(place < 97, changed).otherwise(content))
+        differ = stored(x.join(y, ["file", "node"], "full").filter(
+            "NOT (x.hash <=> y.hash)").select("file", "node"), f"audit-{k}")
+        above = differ.withColumnRenamed("node", "parent")
+    x, y = (_places(side.join(differ, ["file", "node"], "left_semi")) for side in sides)
+    # equal records of a file in the order of their places
+    whole = x.alias("x").join(y.alias("y"), ["file", "body", "nth"])
+    moved = whole.select("file", F.col("x.node").alias("ordinal"), "x.start", "x.stop", "x.page_id",
+                         F.lit("moved").alias("state"))
+    lost, new = (side.join(whole.select("file", "body", "nth"), ["file", "body", "nth"], "left_anti")
+                 for side in (x, y))
+    either = lambda c: F.coalesce(f"x.{c}", f"y.{c}").alias(c)
+    rest = lost.alias("x").join(new.alias("y"), ["file", "node"], "full").select(
+        "file", F.col("node").alias("ordinal"), *map(either, ("start", "stop", "page_id")),
+        F.when(F.col("x.body").isNull(), "extra").when(F.col("y.body").isNull(), "missing")
+        .otherwise("changed").alias("state"))
+    return moved.unionByName(rest)
+
+
+def _places(leaves: DataFrame) -> DataFrame:
+    nth = F.row_number().over(Window.partitionBy("file", "body").orderBy("node"))
+    return leaves.select("file", "node", "body", "start", "stop", "page_id", nth.alias("nth"))
+
+
+def damaged_records(file: int, found: list[bytes]) -> list[bytes]:
+    """The records of a file with known damage, chosen by hashes of their places: in about one of 89 the byte
+    in the middle is changed, and of four files one has lost the end of its last record, one its
+    middle record, and one has a record more there."""
+    out = [r[:len(r) // 2] + bytes([r[len(r) // 2] ^ 1]) + r[len(r) // 2 + 1:]
+           if r and zlib.crc32(f"{file}:{k}".encode()) % 89 == 0 else r for k, r in enumerate(found)]
+    kind, middle = zlib.crc32(f"file {file}".encode()) % 4, len(out) // 2
+    if out and kind == 0:
+        out[-1] = out[-1][:2 * len(out[-1]) // 3]
+    elif out and kind == 1:
+        del out[middle]
+    elif kind == 2:
+        out.insert(middle, b"WARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: 5\r\n\r\nextra")
+    return out
+
+
+def write_damaged(spark, folder: str, replica: str) -> None:
+    """A replica of an archive with :func:`damaged_records`, file by file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file, data in _opened(batches):
+            found = damaged_records(file, [data[at:at + size] for at, _, size in _cut(data)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([file] * len(found), pa.int64()), pa.array(found, pa.binary())],
+                names=["file", "content"])
+
+    write_warc(_files(spark, folder).mapInArrow(run, "file bigint, content binary"), replica)
 
 
 def op8_warc(spark, sf_dir: str) -> DataFrame:
-    """The pages as an archive, audited against a replica with known damage: every damaged record
-    with its place."""
-    archive = records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    found = audit(tree(archive, "replica-a"), tree(damaged(archive), "replica-b"))
-    return found.select("file", "ordinal", "start", "stop", "state")
+    """The pages written as an archive, and as a replica with known damage; both read back and
+    audited: every record in which they differ, with its place."""
+    folders = [f"{shared_folder(spark)}/archive-{side}-{uuid.uuid4().hex}" for side in "ab"]
+    write_warc(records(spark.read.parquet(f"{sf_dir}/pages.parquet"), FILE_RECORDS), folders[0])
+    write_damaged(spark, *folders)
+    return audit(*(tree(read_warc(spark, folder), f"replica-{side}")
+                   for folder, side in zip(folders, "ab")))

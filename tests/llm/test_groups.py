@@ -7,7 +7,7 @@ import hashlib
 import random
 import uuid
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import llm_helpers as H
 import numpy as np
@@ -112,12 +112,12 @@ def test_near_duplicates(spark, smallest):
 
 def test_keep_leaders(spark):
     docs = H.awkward(spark)
-    kept = simhash.keep_leaders(docs, 5, 6)
+    kept = shingles.keep_leaders(docs, 5, 80)
     assert kept.columns == docs.columns
     rows = kept.collect()
     assert sum(r.text == H.PROSE for r in rows) == 1
     assert {r.doc_id for r in rows if r.text and r.text.startswith("The old")} == {1}
-    assert simhash.keep_leaders(H.empty(spark), 5, 6).count() == 0
+    assert shingles.keep_leaders(H.empty(spark), 5, 80).count() == 0
 
 
 # substrings
@@ -235,6 +235,39 @@ def plain_place(lengths, size):
     return [w[0] for w in where], gaps
 
 
+def test_other_tokenizers_get_whole_texts(smallest):
+    """One that cuts at bytes and keeps blanks, and the known one with another setting."""
+    import json
+
+    import public_tokenizers
+    known = Tokenizer.from_file(TOKENIZER)
+    assert packing._cuts_alike(known)
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert not packing._cuts_alike(Tokenizer.from_file(other))
+    spec = json.loads(known.to_str())
+    spec["normalizer"]["normalizers"].pop()
+    assert not packing._cuts_alike(Tokenizer.from_str(json.dumps(spec)))
+    texts = ["Two  words, don't\nbreak", "", "It's 12 o'clock é😀"]
+    whole = Tokenizer.from_file(other)
+    assert [ids.tolist() for ids in packing.Encoder(other)(texts)] == [
+        whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("group_pieces", [1 << 18, 40])
+def test_groups_are_bounded_by_pieces(spark, group_pieces):
+    """Many pieces of a token each, next to some long ones."""
+    lengths = spark.range(300).selectExpr("id", "IF(id % 50 = 0, 30L, 1L) AS length")
+    rows = packing.pack(lengths, size=32, group_pieces=group_pieces).collect()
+    places = defaultdict(list)
+    for r in rows:
+        places[r.sequence_id].append((r.offset, r.length))
+    assert len(rows) == 300
+    for own in places.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(own)]).tolist()]
+        assert [at for at, _ in sorted(own)] == ends[:-1] and ends[-1] <= 32
+    assert len(places) <= 2 * -(-sum(r.length for r in rows) // 32)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_place_takes_the_least_sum_of_squares(seed):
     rng = np.random.default_rng(seed)
@@ -445,34 +478,87 @@ def test_mix_awkward(spark):
 
 # archives
 
-def test_archive_round_trip_and_audit(spark, smallest):
-    pages = spark.read.parquet(f"{smallest}/pages.parquet").unionByName(spark.createDataFrame(
-        [(None, None, None), (0, "x\r\ny", "é\r\n\r\nz"), (0, "x", "")],
+def odd_pages(spark, smallest):
+    return spark.read.parquet(f"{smallest}/pages.parquet").unionByName(spark.createDataFrame(
+        [(None, None, None), (None, None, None), (0, "x\r\ny", "é\r\n\r\nz"), (0, "x", "")],
         "page_id long, url string, html string"))
-    archive = warc.records(pages, 20)
+
+
+def put(spark, archive):
     folder = f"{spark.conf.get('spark.checkpoint.dir')}/warc-{uuid.uuid4().hex}"
     warc.write_warc(archive, folder)
+    return folder
+
+
+def test_archive_round_trip_and_audit(spark, smallest):
+    pages = odd_pages(spark, smallest)
+    folder = put(spark, warc.records(pages.repartition(2), 20))
     back = warc.read_warc(spark, folder)
-    assert back.count() == pages.count()
-    trees = [warc.tree(side, name) for side, name in ((archive, "a"), (back, "b"))]
+    rows = back.collect()
+    assert Counter((r.page_id, bytes(r.content)) for r in rows) == Counter(
+        (r.page_id, bytes(r.content)) for r in warc.records(pages, 20).collect())
+    files = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.file, r.ordinal)):
+        files[r.file].append(r)
+    for own in files.values():
+        assert [r.ordinal for r in own] == list(range(len(own))) and len(own) <= 20
+        assert [r.offset for r in own] == [0, *np.cumsum([r.length for r in own])[:-1].tolist()]
+    trees = [warc.tree(warc.read_warc(spark, folder), name) for name in "ab"]
     assert warc.audit(*trees).count() == 0
 
 
-def test_audit_finds_all_damage(spark, smallest):
-    archive = warc.records(spark.read.parquet(f"{smallest}/pages.parquet"), 30)
-    changed = archive.filter("NOT (file = 0 AND ordinal = 3)").withColumn(
-        "content", F.when(F.expr("file = 1 AND ordinal IN (0, 17)"), F.lit(b"x")).otherwise(
-            F.col("content")))
-    found = warc.audit(warc.tree(archive, "a", 4), warc.tree(changed, "b", 4), 4).collect()
-    assert {(r.file, r.ordinal, r.state) for r in found} == {
-        (0, 3, "missing"), (1, 0, "changed"), (1, 17, "changed")}
-    extra = warc.audit(warc.tree(changed, "c", 4), warc.tree(archive, "d", 4), 4).collect()
-    assert {(r.file, r.ordinal, r.state) for r in extra} == {
-        (0, 3, "extra"), (1, 0, "changed"), (1, 17, "changed")}
-    longer = archive.filter("file = 0").unionByName(archive.filter("file = 0").withColumn(
-        "ordinal", F.col("ordinal") + 30))
-    more = warc.audit(warc.tree(archive.filter("file = 0"), "e", 4), warc.tree(longer, "f", 4), 4)
-    assert {(r.ordinal, r.state) for r in more.collect()} == {(k, "extra") for k in range(30, 60)}
+def differences(a, b):
+    """By record: of files as lists of (page, content)."""
+    out = []
+    for file in sorted(a.keys() | b.keys()):
+        x, y = a.get(file, []), b.get(file, [])
+        at = lambda side, k: sum(len(c) + 4 for _, c in side[:k])
+        same = {k for k in range(min(len(x), len(y)))
+                if x[k][1] == y[k][1] and at(x, k) == at(y, k)}
+        left, right = ([k for k in range(len(s)) if k not in same] for s in (x, y))
+        lost, new = [], list(right)
+        for k in left:
+            match = next((j for j in new if y[j][1] == x[k][1]), None)
+            if match is None:
+                lost.append(k)
+            else:
+                new.remove(match)
+                out.append((file, k, "moved", x[k][0]))
+        for k in sorted({*lost, *new}):
+            state = "extra" if k not in lost else "changed" if k in new else "missing"
+            out.append((file, k, state, (x[k] if k in lost else y[k])[0]))
+    return sorted(out, key=str)
+
+
+def by_file(spark, folder):
+    files = defaultdict(list)
+    for r in sorted(warc.read_warc(spark, folder).collect(), key=lambda r: (r.file, r.ordinal)):
+        files[r.file].append((r.page_id, bytes(r.content)))
+    return files
+
+
+@pytest.mark.parametrize("fanout", [2, 4, 16])
+def test_audit_finds_all_damage(spark, smallest, fanout):
+    """Changed, truncated, lost and new records, on real files and in the order of all states."""
+    folder = put(spark, warc.records(odd_pages(spark, smallest).repartition(3), 12))
+    replica = f"{folder}-replica"
+    warc.write_damaged(spark, folder, replica)
+    a, b = by_file(spark, folder), by_file(spark, replica)
+    trees = [warc.tree(warc.read_warc(spark, f), n, fanout) for f, n in ((folder, "a"), (replica, "b"))]
+    for x, y, p, q in ((a, b, *trees), (b, a, *reversed(trees))):
+        found = warc.audit(p, q, fanout).collect()
+        assert sorted(((r.file, r.ordinal, r.state, r.page_id) for r in found), key=str) == differences(x, y)
+        assert {r.state for r in found} == {"changed", "moved", "missing", "extra"}
+
+
+def test_audit_reads_only_below_differing_nodes(spark, smallest):
+    archive = warc.read_warc(spark, put(spark, warc.records(
+        spark.read.parquet(f"{smallest}/pages.parquet").repartition(1), 100)))
+    changed = archive.withColumn("content", F.when(
+        F.expr("file = 1 AND ordinal = 17"), F.concat(F.substring("content", 1, 300), F.lit(b"x"), F.expr(
+            "substring(content, 302)"))).otherwise(F.col("content")))
+    found = warc.audit(warc.tree(archive, "c", 4), warc.tree(changed, "d", 4), 4).collect()
+    assert [(r.file, r.ordinal, r.state) for r in found] == [(1, 17, "changed")]
 
 
 def test_damaged_archive_file_is_read_whole():
@@ -483,9 +569,13 @@ def test_damaged_archive_file_is_read_whole():
 
 
 def test_empty_archive(spark):
+    rows = spark.createDataFrame([], "file long, ordinal long, offset long, length long, page_id long,"
+                                     " content binary")
+    assert warc.audit(warc.tree(rows, "a"), warc.tree(rows, "b")).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string")
-    trees = [warc.tree(warc.records(pages), name) for name in "ab"]
-    assert warc.audit(*trees).count() == 0
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/none-{uuid.uuid4().hex}"
+    pages.write.parquet(f"{path}/pages.parquet")
+    assert warc.op8_warc(spark, path).count() == 0
 
 
 # pipeline

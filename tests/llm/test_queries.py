@@ -1,0 +1,282 @@
+"""The registered text queries as a whole, over whole tables, against plain versions in Python."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import unicodedata
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import test_groups as G
+import test_texts as T
+from llm_helpers import documents
+from skyground.llm import editprint, language, mixing, pii, quality, queries, warc
+
+MIDDLE = "/root/testdata/sf0.01"
+RUN = queries.registered()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, smallest):
+    return {r.doc_id: r for r in documents(spark, smallest).collect()}
+
+
+def rows_of(spark, name, folder):
+    return {r.doc_id: r for r in RUN[name](spark, folder).collect()}
+
+
+def test_op1(spark, smallest, docs):
+    got = rows_of(spark, "op1_simhash", smallest)
+    prints = {i: G.plain_fingerprint(d.text) for i, d in docs.items()}
+    near = G.roots([(a, b) for a in prints for b in prints
+                    if a <= b and (prints[a] ^ prints[b]).bit_count() <= 4])
+    assert {i: (r.fingerprint, r.component_id) for i, r in got.items()} == {
+        i: (f"{p:016x}", near[i]) for i, p in prints.items()}
+
+
+def test_op3(spark, smallest, docs):
+    got, ids = rows_of(spark, "op3_editprint", smallest), sorted(docs)
+    prints = {}
+    for i, after in zip(ids, ids[1:] + ids[:1]):
+        text, next_ = docs[i].text or "", docs[after].text or ""
+        cut = len(text) // 4
+        changed, r = text[:len(text) - cut] + next_[:cut], got[i]
+        assert r.n_chars == len(text)
+        assert r.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        assert [r.fingerprint, r.edited_fingerprint] == editprint.fingerprints([text, changed])
+        assert r.near_edited == editprint.likeness(r.fingerprint, r.edited_fingerprint)
+        assert r.near_next == editprint.likeness(r.fingerprint, got[after].fingerprint)
+        assert prints.setdefault(text, r.fingerprint) == r.fingerprint
+
+
+def fails(line):
+    """The line rules, word by word and character by character."""
+    kinds = Counter(map(unicodedata.category, line))
+    of = lambda chars: sum(line.count(c) for c in chars)
+    marks = [c for c in line if c in ".,;:!?" or (
+        ord(c) > 127 and unicodedata.category(c) == "Po" and c not in "•·§¶†‡‰‱※")]
+    low, said = line.lower(), 0
+    for phrase in sorted(quality.BOILERPLATE, key=len):
+        for at in re.finditer(re.escape(phrase), low):
+            around = low[at.start() - 1:at.start()] + low[at.end():at.end() + 1]
+            said += len(phrase) * (not any(unicodedata.category(c)[0] in "LMN" for c in around))
+    words, again, k = line.split(" "), 0, 1
+    while k + 1 < len(words):
+        twice = words[k] != "" and words[k] == words[k + 1]
+        again, k = again + twice, k + (2 if twice else 1)
+    return (not kinds["Ll"] and kinds["Lu"] >= 10
+            or of("!?") >= 3 and of("!?") * 15 > len(line)
+            or of("#*$%&|<>") >= 3 and of("#*$%&|<>") * 15 > len(line)
+            or len(line) > 200 and not marks
+            or of("|»›•·") >= 3 and of("|»›•·") * 40 > len(line)
+            or said * 8 > len(line) or again >= 2 and again * 30 > len(line))
+
+
+def test_op4(spark, smallest, docs):
+    got = rows_of(spark, "op4_quality", smallest)
+    for i, d in docs.items():
+        text, r = d.text or "", got[i]
+        base = T.base_counts(text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words,
+                r.base_failed) == base
+        cleaned = "\n".join(x for x in text.split("\n") if not fails(x))
+        lost = len(text) - len(cleaned)
+        assert r.kept == (not r.base_failed and 100 * lost <= 50 * len(text)), i
+    assert 0 < sum(r.kept for r in got.values()) < len(got)
+
+
+def test_op5(spark, smallest, docs):
+    got = rows_of(spark, "op5_substrings", smallest)
+    want = G.plain_removals([(i, d.text) for i, d in docs.items()], 50)
+    for i, n, gone, *_ in want:
+        words = (docs[i].text or "").encode().split()
+        assert (got[i].n_words, got[i].n_removed) == (n, gone)
+        if not gone:
+            assert got[i].kept_sha256 == hashlib.sha256(b" ".join(words)).hexdigest()
+    first = {}
+    for i in sorted(docs):
+        words = (docs[i].text or "").encode().split()
+        for k in range(len(words) - 49):
+            first.setdefault(tuple(words[k:k + 50]), i)
+    for i, d in docs.items():
+        words = (d.text or "").encode().split()
+        gone = {k + j for k in range(len(words) - 49) for j in range(50)
+                if first[tuple(words[k:k + 50])] < i}
+        kept = b" ".join(w for k, w in enumerate(words) if k not in gone)
+        assert got[i].kept_sha256 == hashlib.sha256(kept).hexdigest()
+    assert any(r.n_removed for r in got.values())
+
+
+def plain_mixture(likely, weight, rounds=400):
+    shares = np.full(len(likely), 1 / len(likely))
+    for _ in range(rounds):
+        joint = shares[:, None] * likely
+        shares = (joint / joint.sum(axis=0)) @ weight / weight.sum()
+    return shares, float((weight * np.log(shares @ likely)).sum() / weight.sum())
+
+
+def plain_language(text, logs):
+    """Penalised selection with expectation-maximisation run to its end, in double precision."""
+    classes = language.ngram_classes(text)
+    own = logs[:, classes].astype(float)
+    likely, weight = np.exp(own - own.max(axis=0)), np.ones(len(classes))
+    price = language.PENALTY * 0.5 * np.log(max(len(classes), 2)) / len(classes)
+    single = np.log(likely).mean(axis=1)
+    every, value = plain_mixture(likely, weight)
+    first = int(single.argmax())
+    chosen, best, shares = [first], single[first], np.eye(len(logs))[first]
+    if value - best > price:
+        for k in sorted(set(range(len(logs))) - {first}, key=lambda k: (-every[k], k)):
+            found, value = plain_mixture(likely[[*chosen, k]], weight)
+            if value - best <= price:
+                break
+            chosen, best, shares = [*chosen, k], value, np.zeros(len(logs))
+            shares[chosen] = found
+    return shares
+
+
+def test_op6(spark, smallest, docs):
+    """The counts of the learning part, the held-out rows, and every mixture."""
+    got = rows_of(spark, "op6_language", smallest)
+    out = {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in docs}
+    known = sorted({d.lang for i, d in docs.items() if d.lang and not out[i]})
+    counts = np.full((len(known), language.CLASSES), 0.5)
+    for i, d in docs.items():
+        if d.lang and d.text and not out[i]:
+            np.add.at(counts[known.index(d.lang)], language.ngram_classes(d.text), 1)
+    logs = np.log(counts) - np.log(counts.sum(axis=1, keepdims=True))
+    for i, d in docs.items():
+        r = got[i]
+        assert r.held_out == out[i]
+        if not d.text or not any(map(str.isalpha, d.text)):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        shares = plain_language(d.text, logs)
+        assert r.lang_pred == known[int(shares.argmax())]
+        assert r.score == pytest.approx(shares.max(), abs=0.05)
+    tested = [i for i in docs if out[i] and docs[i].lang]
+    assert np.mean([got[i].lang_pred == docs[i].lang for i in tested]) > 0.95
+
+
+def test_long_texts_are_counted_whole(monkeypatch):
+    text = "Wörter 12 und andere — " * 50 + "x" * 100
+    whole = language.ngram_counts(text)
+    assert whole.sum() == len(language.ngram_classes(text))
+    monkeypatch.setattr(language, "_STRETCH", 17)
+    assert np.array_equal(language.ngram_counts(text), whole)
+    assert np.array_equal(whole, np.bincount(language.ngram_classes(text), minlength=len(whole)))
+
+
+def test_too_many_languages_fail(spark, smallest, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGS", 2)
+    with pytest.raises(ValueError, match="4 languages"):
+        language.train(documents(spark, smallest))
+
+
+def test_op7(spark):
+    """Whole copies, targets, and totals of each source; two runs agree."""
+    docs = {r.doc_id: r for r in documents(spark, MIDDLE).collect()}
+    got = rows_of(spark, "op7_mixing", MIDDLE)
+    size = {i: len((d.text or "").encode().split()) for i, d in docs.items()}
+    of_source = defaultdict(int)
+    for i, d in docs.items():
+        of_source[d.source] += size[i]
+    wanted, taken = G.plain_targets(of_source), defaultdict(int)
+    for i, d in docs.items():
+        r = got[i]
+        assert (r.size, r.source_size) == (size[i], of_source[d.source])
+        assert r.target == pytest.approx(wanted[d.source], rel=1e-9)
+        assert r.taken % max(size[i], 1) == 0 and r.taken <= mixing.MOST_TIMES * size[i]
+        # the whole part of what is wanted of a document is always taken
+        assert r.taken >= int(wanted[d.source] / max(of_source[d.source], 1) + 1e-9) * size[i]
+        taken[d.source] += r.taken
+    assert all(abs(taken[s] - t) <= 0.03 * t + 5 for s, t in wanted.items())
+    again = rows_of(spark, "op7_mixing", MIDDLE)
+    assert {i: r.taken for i, r in again.items()} == {i: r.taken for i, r in got.items()}
+
+
+def test_op8(spark, monkeypatch):
+    """Every record of both replicas, one by one, from the files that the query has written."""
+    written = []
+    whole = warc.write_damaged
+    monkeypatch.setattr(warc, "write_damaged", lambda s, a, b: (written.extend((a, b)), whole(s, a, b)))
+    monkeypatch.setattr(warc, "FILE_RECORDS", 100)
+    got = sorted(((r.file, r.ordinal, r.state, r.page_id) for r in RUN["op8_warc"](
+        spark, MIDDLE).collect()), key=str)
+    a, b = (G.by_file(spark, folder) for folder in written)
+    assert got == G.differences(a, b) and got
+    pages = spark.read.parquet(f"{MIDDLE}/pages.parquet")
+    assert sorted(i for own in a.values() for i, _ in own) == sorted(
+        r.page_id for r in pages.select("page_id").collect())
+
+
+def test_op9(spark, smallest, docs):
+    got = rows_of(spark, "op9_pii", smallest)
+    for i, d in docs.items():
+        base, r = T.base_spans(d.text), got[i]
+        listed = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        count = Counter(k for k, *_ in base)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(
+            count[k] for k in ("email", "ip", "card", "phone"))
+        spans = r.spans.split(",") if r.spans else []
+        assert [s for s in spans if s.split(":")[0] in pii.BASE] == (listed.split(",") if listed else [])
+        assert len(spans) == len(r.scores.split(",") if r.scores else [])
+
+
+def iban(country, body):
+    """An account number with the right check digits."""
+    digits = "".join(str(int(c, 36)) for c in body + country + "00")
+    return f"{country}{98 - int(digits) % 97:02d}{body}"
+
+
+def test_account_numbers_need_a_fitting_length_or_context(spark):
+    numbers = {"DE": "370400440532013000", "XX": "370400440532013000", "FR": "370400440532013000"}
+    texts = [(f"{word} {iban(c, body)} end", c == "DE" or word == "account")
+             for c, body in numbers.items() for word in ("paid", "account")]
+    wrong = iban("DE", numbers["DE"])[:-1] + "1"
+    texts += [(f"account {wrong} end", False)]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: [s for s in r["__spans"] if s.kind == "iban"]
+             for r in pii.personal_data(df).collect()}
+    assert [bool(found[k]) for k in range(len(texts))] == [ok for _, ok in texts]
+    assert all(s.score >= pii.ACCEPTED for spans in found.values() for s in spans)
+
+
+def test_op10(spark, smallest, docs):
+    got = rows_of(spark, "op10_secrets", smallest)
+    for i, d in docs.items():
+        base, r = T.base_secrets(d.text), got[i]
+        listed = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        count = Counter(k for k, *_ in base)
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(
+            count[k] for k in ("assign", "access", "hex"))
+
+
+def test_columns_called_like_helpers(spark):
+    """Stages pass on a user's columns, whatever their names."""
+    from skyground.llm import packing, secrets, shingles
+
+    names = ["row", "row_", "spans", "plain", "judged", "own_id", "kinds", "number", "key", "node",
+             "__spans", "__text", "__row", "__copy", "__quality", "__kinds", "__key", "block"]
+    text = T.H.PROSE + " a@b.co"
+    docs = spark.createDataFrame(
+        [(1, text, "s", *[7] * len(names)), (2, text.upper() + " Other words here.", "t", *[8] * len(names))],
+        "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names))
+
+    def held(df):
+        return sorted((r.doc_id, *{r[n] for n in names}) for r in df.collect())
+
+    assert held(quality.keep_good(docs)) == [(1, 7)]
+    assert held(pii.redact(docs)) == [(1, 7), (2, 8)]
+    assert held(shingles.keep_leaders(docs, 5, 80)) == [(1, 7)]
+    assert set(held(mixing.repeat_to_targets(docs))) <= {(1, 7), (2, 8)}
+    assert held(secrets.secrets(docs, name="found")) == [(1, 7), (2, 8)]
+    lengths = docs.drop("text").withColumn("length", F.lit(3).cast("bigint"))
+    assert held(packing.pack(lengths)) == [(1, 7), (2, 8)]
