@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.stages import stored
-from .text import BLANKS
+from .text import BLANKS, by_row, spare
 
 WEIGHTS, MOST_TIMES = (1, 2, 3), 3
 BLOCK_DOCS = 100_000
@@ -204,8 +204,9 @@ def op7_mixing(spark, sf_dir: str) -> DataFrame:
 
 def repeat_to_targets(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it."""
-    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-input")
-    found = mix(numbered.select(F.col("__row").alias("doc_id"), "source", "text"))
+    row = spare(docs.columns, "row")
+    numbered = by_row(docs, row, "mix_input")
+    found = mix(numbered.select(F.col(row).alias("doc_id"), "source", "text"))
     taken = found.filter("copies > 0").select(
-        F.col("doc_id").alias("__row"), F.expr("explode(sequence(1, copies))").alias("__copy"))
-    return numbered.join(taken, "__row").drop("__row", "__copy")
+        F.col("doc_id").alias(row), F.expr("explode(sequence(1, copies))"))
+    return numbered.join(taken, row).select(*docs.columns)
