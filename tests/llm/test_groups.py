@@ -553,7 +553,7 @@ def test_audit_finds_all_damage(spark, smallest, fanout):
 
 def test_audit_reads_only_below_differing_nodes(spark, smallest):
     archive = warc.read_warc(spark, put(spark, warc.records(
-        spark.read.parquet(f"{smallest}/pages.parquet").repartition(1), 100)))
+        spark.read.parquet(f"{smallest}/pages.parquet").repartition(1), 30)))
     changed = archive.withColumn("content", F.when(
         F.expr("file = 1 AND ordinal = 17"), F.concat(F.substring("content", 1, 300), F.lit(b"x"), F.expr(
             "substring(content, 302)"))).otherwise(F.col("content")))

@@ -267,7 +267,7 @@ def test_columns_called_like_helpers(spark):
              "__spans", "__text", "__row", "__copy", "__quality", "__kinds", "__key", "block"]
     text = T.H.PROSE + " a@b.co"
     docs = spark.createDataFrame(
-        [(1, text, "s", *[7] * len(names)), (2, text.upper() + " Other words here.", "t", *[8] * len(names))],
+        [(1, text, "s", *[7] * len(names)), (2, text.upper() + " OTHER WORDS HERE.", "t", *[8] * len(names))],
         "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names))
 
     def held(df):
