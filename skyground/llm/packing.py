@@ -30,7 +30,8 @@ SEQUENCE, SEPARATOR = 4096, 1
 GROUP_TOKENS = 32 << 20
 #: Pieces of one group, since many may have a token each; a task places them in some seconds.
 GROUP_PIECES = 1 << 18
-_KNOWN_WORDS = 800_000
+#: Words whose ids a worker keeps, about 130 MB; it has them until it ends, whatever it does next.
+_KNOWN_WORDS = 600_000
 
 # Texts of Latin letters, digits and ASCII marks only: lower case, blanks and the tokenizer's own cut
 # are the same in Python there. Any other character, and special tokens, send a text to it whole.
