@@ -606,12 +606,12 @@ def map_incremental(spark, sf_dir):
 
 @query
 def silver_table(spark, sf_dir):
-    """Silver written into its table twice, the second time over all rows, and read by name."""
+    """Silver's table filled with all confident rows, then replaced by the dedup, and read by name."""
     schema = _own_schema("silver")
     ensure_tables(spark, schema)
-    detections = X.detections(spark, sf_dir)
-    write_silver(spark, schema, detections.limit(10))
-    write_silver(spark, schema, proximity_dedup(confident(detections)))
+    rows = confident(X.detections(spark, sf_dir))
+    write_silver(spark, schema, rows)
+    write_silver(spark, schema, proximity_dedup(rows))
     return _silver_columns(spark.sql(f"SELECT * FROM {qualified(schema, DETECTIONS_SILVER)}"))
 
 
