@@ -51,8 +51,9 @@ def test_fingerprint_in_blocks(monkeypatch):
     assert simhash.fingerprint(text) == plain_fingerprint(text)
 
 
-@pytest.mark.parametrize("bits", [0, 1, 3, 4, 6, 9])
-def test_links_are_all_close_pairs(spark, bits):
+@pytest.mark.parametrize("bits,together", [
+    (0, 1), (1, 1), (3, 1), (4, 1), (6, 1), (9, 1), (0, 2), (1, 2), (4, 2), (6, 2), (4, 3), (5, 3)])
+def test_links_are_all_close_pairs(spark, bits, together):
     rng = random.Random(bits)
     values = {0, (1 << 64) - 1, 1, 1 << 63}
     while len(values) < 250:
@@ -62,7 +63,7 @@ def test_links_are_all_close_pairs(spark, bits):
         values.add(rng.choice([near, rng.getrandbits(64)]))
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     table = spark.createDataFrame([(v,) for v in signed], "fp long")
-    found = [tuple(r) for r in simhash.links(table, bits).collect()]
+    found = [tuple(r) for r in simhash.links(table, bits, together).collect()]
     expected = {(a, b) for a in signed for b in signed
                 if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= bits}
     assert len(found) == len(set(found)) and set(found) == expected
