@@ -15,7 +15,7 @@ from .. import fixed_values as V
 from ..operators.ranking import best_per_report, ordinal_within, spread
 from ..schemas import CORRELATIONS, MAP_COLUMNS
 from ..sources import tables as T
-from .stages import replace_partitions, stored, stored_observed
+from .stages import replace_partitions, setting, stored, stored_observed
 
 #: Degrees of a tile: at most 72 x 36 of them, so a list of tiles may come to the driver.
 TILE_DEG = 5
@@ -125,7 +125,9 @@ def rebuild_map(spark: SparkSession, schema: str, view: DataFrame) -> None:
     name = ensure_map(spark, schema)
     rows = stored(view.select(*MAP_COLUMNS).withColumn(
         "tile", tile(F.col("event_lat"), F.col("event_lon"))), "map-rows")
-    rows.write.mode("overwrite").insertInto(name, overwrite=True)
+    # whatever the session's mode: tiles without rows go
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+        rows.write.insertInto(name, overwrite=True)
 
 
 def published_map(spark: SparkSession, schema: str) -> DataFrame:

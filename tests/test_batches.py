@@ -287,6 +287,15 @@ def test_a_report_that_moves(spark, schema):
     same_as_rebuilt(spark, schema)
 
 
+def test_a_rebuilt_map_has_no_old_tiles(spark, schema):
+    update(spark, schema, [(1, 10, 0.5, 45.0, 30.0, 0), (2, 11, 0.5, -45.0, 30.0, 0)], "a")
+    rows = map_view(table(spark, schema, GOLD).filter("acled_event_id = 11"))
+    incremental.rebuild_map(spark, schema, rows)
+    assert shown(incremental.published_map(spark, schema)) == shown(rows)
+    incremental.rebuild_map(spark, schema, map_view(table(spark, schema, GOLD)))
+    assert len(same_as_rebuilt(spark, schema)) == 2
+
+
 def test_an_update_that_ended_half_way(spark, schema):
     """One of two tiles was replaced: the report is published twice until the batch runs again."""
     update(spark, schema, [(1, 10, 0.5, 45.0, 30.0, 0), (2, 11, 0.5, 45.0, 30.0, 0)], "a")
