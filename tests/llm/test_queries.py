@@ -39,6 +39,26 @@ def test_op1(spark, smallest, docs):
         i: (f"{p:016x}", near[i]) for i, p in prints.items()}
 
 
+def test_op2(spark, smallest, docs):
+    """Every id of every document by the tokenizer itself, cuts, and gapless sequences."""
+    whole, want = G.Tokenizer.from_file(G.TOKENIZER), {}
+    for i, d in docs.items():
+        ids = whole.encode(d.text or "", add_special_tokens=False).ids + [1]
+        for k in range(-(-len(ids) // 4096)):
+            own = np.array(ids[k * 4096:(k + 1) * 4096], dtype="<u4")
+            want[i, k] = (k * 4096, len(own), zlib.crc32(own.tobytes()))
+    rows = RUN["op2_pack"](spark, smallest).collect()
+    assert len(rows) == len(want)
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == want
+    places = defaultdict(list)
+    for r in rows:
+        places[r.sequence_id].append((r.offset, r.length))
+    for own in places.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(own)]).tolist()]
+        assert [at for at, _ in sorted(own)] == ends[:-1] and ends[-1] <= 4096
+    assert len(places) <= 1.05 * -(-sum(n for _, n, _ in want.values()) // 4096) + 1
+
+
 def test_op3(spark, smallest, docs):
     got, ids = rows_of(spark, "op3_editprint", smallest), sorted(docs)
     prints = {}
