@@ -664,6 +664,39 @@ def test_near_duplicate_stage_acts_from_similarity_080(spark, smallest):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(leaders)
 
 
+def test_near_duplicate_candidates_share_a_simhash_fingerprint():
+    """The fingerprints against plain sums; the keys are fingerprints without a segment."""
+    found = shingles.shingle_set(" ".join(f"x{k}" for k in range(700)), 5)
+    prints, size = shingles.fingerprints(found), shingles.PRINTS
+    cuts = [round(k * 64 / shingles.SEGMENTS) for k in range(shingles.SEGMENTS + 1)]
+    for r in range(size):
+        for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            xor, odd = (int(seeds[n * size + r]) for seeds in (shingles._XOR, shingles._ODD))
+            weights = [((((h ^ xor) * odd % 2 ** 64) >> 11) + 1) ** -4 for h in found.tolist()]
+            for bit in range(a, b):
+                signed = sum(w if h >> bit & 1 else -w for h, w in zip(found.tolist(), weights))
+                assert (signed > 0) == bool(int(prints[r]) >> bit & 1)
+    assert not shingles.fingerprints(found[:0]).any() and shingles.print_keys(found[:0]) == []
+    assert len(set(shingles.print_keys(found))) == size * shingles.SEGMENTS
+
+
+def test_fingerprints_meet_from_similarity_080():
+    """Sets of similarity 0.8 share a key, and a fingerprint within a segment; others rarely."""
+    rng = np.random.default_rng(12)
+    met = {0.8: 0, 0.1: 0}
+    for similarity in met:
+        for size in (10, 30, 100, 300) * 100:
+            values = rng.integers(0, 1 << 64, size, dtype=np.uint64)
+            own = round(size * (1 - similarity)) // 2
+            a, b = np.sort(values[own:]), np.sort(values[:size - own])
+            shared = set(shingles.print_keys(a)) & set(shingles.print_keys(b))
+            differing = [sum(x & ~m != 0 for m in shingles._LEFT_OUT.tolist())
+                         for x in (shingles.fingerprints(a) ^ shingles.fingerprints(b)).tolist()]
+            assert bool(shared) == (min(differing) <= 1)
+            met[similarity] += bool(shared)
+    assert met[0.8] == 400 and met[0.1] < 8
+
+
 @pytest.mark.parametrize("members", [3, 256])
 def test_large_buckets_are_compared_whole(spark, monkeypatch, members):
     """Whatever the size of a piece of a bucket, the same rows stay."""
