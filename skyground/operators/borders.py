@@ -35,6 +35,7 @@ def split_dominated(batch: DataFrame, neighbours: DataFrame, gone: DataFrame
     """The rows of ``batch`` that stay, and the ids of earlier batches that are to be taken back:
     rows of ``neighbours`` that had been kept and that this batch dominates. ``gone`` is a stored
     result of :func:`dominated_across`."""
+    gone = gone.hint("merge")  # most rows of a crowded batch
     kept = batch.join(gone, "id", "left_anti")
     back = neighbours.filter("kept").select("id").distinct().join(gone, "id", "left_semi")
     return kept, back

@@ -43,6 +43,9 @@ def _dominated(
        crowd at once.
     2. The few rows left, at most one id per small cell, are compared with all rows of the grid
        cells around them. Rows of a crowded cell are dealt over several tasks.
+
+    Sides that grow with the input are merged, never broadcast: many runs of the dedup, batch by batch, would
+    otherwise each send the driver as much as Spark broadcasts.
     """
     # the id test is cheap and comes first, so larger cells with fewer copies pay here
     grid = CircleGrid(radius_m, wrap, span=4)
@@ -60,7 +63,7 @@ def _dominated(
         "_sure_slot", bucket(F.col("_sec"), window_s + 1))
     leaders = crowded.groupBy(*_SURE).agg(F.max("id").alias("id"), F.lit(True).alias("_led"))
     # the id is part of the key, so a crowded cell does not gather in one task
-    marked = crowded.join(leaders, [*_SURE, "id"], "left").selectExpr(
+    marked = crowded.join(leaders.hint("merge"), [*_SURE, "id"], "left").selectExpr(
         "id", "_lat", "_lon", "_sec", "_led IS NOT NULL AS _leads")
 
     # Leaders go to all cells and slots around them. The others are settled: they only pass
@@ -86,7 +89,7 @@ def _dominated(
     near = near & (great_circle_m(
         mine("_lat"), mine("_lon"), F.col("_lat"), F.col("_lon")) <= radius_m)
     # an existence test: a probe stops at its first match
-    return probes.alias("p").where(~F.col("_leads") | others.where(near).exists()).select("id")
+    return probes.alias("p").where(~F.col("_leads") | others.where(near).hint("merge").exists()).select("id")
 
 
 def dominated_ids(df: DataFrame, **options) -> DataFrame:
@@ -103,7 +106,7 @@ def proximity_dedup(df: DataFrame, **options) -> DataFrame:
     """
     # Repeated ids do no harm here. With both sides straight from their shuffle, adaptive execution
     # can split an id that very many copies share.
-    return df.join(_dominated(df, **options), "id", "left_anti")
+    return df.join(_dominated(df, **options).hint("merge"), "id", "left_anti")
 
 
 def residual_pairs(df: DataFrame, **options) -> DataFrame:

@@ -51,7 +51,7 @@ def dedup_batch(spark: SparkSession, schema: str, batch: str, detections: DataFr
     back = stored(back, "border-back")
 
     own = near_ends(points.filter("id IS NOT NULL"), first, last, window_s).select(*POINT)
-    marked = own.join(gone.withColumn("_gone", F.lit(True)), "id", "left").select(
+    marked = own.join(gone.withColumn("_gone", F.lit(True)).hint("merge"), "id", "left").select(
         *POINT, F.col("_gone").isNull().alias("kept"), utc_day(F.col("acq_datetime")).alias(DAY),
         F.lit(batch).alias(BATCH))
     found = observed(
@@ -65,7 +65,7 @@ def dedup_batch(spark: SparkSession, schema: str, batch: str, detections: DataFr
 def _take_back(spark: SparkSession, name: str, back: DataFrame) -> None:
     """Marks rows as no longer kept, in the partitions that have some."""
     table = spark.table(name)
-    touched = stored(table.join(back, "id", "left_semi").filter("kept").select(DAY, BATCH).distinct(),
+    touched = stored(table.join(back.hint("merge"), "id", "left_semi").filter("kept").select(DAY, BATCH).distinct(),
                      "border-touched")
     # a partition is a day of a batch near its ends, so there are a few
     rows = touched.collect()
@@ -75,6 +75,6 @@ def _take_back(spark: SparkSession, name: str, back: DataFrame) -> None:
     for r in rows:
         some = some | ((F.col(DAY) == F.lit(r[DAY])) & (F.col(BATCH) == r[BATCH]))
     renewed = stored(table.filter(some).join(
-        back.withColumn("_back", F.lit(True)), "id", "left").select(
+        back.withColumn("_back", F.lit(True)).hint("merge"), "id", "left").select(
         *POINT, (F.col("kept") & F.col("_back").isNull()).alias("kept"), DAY, BATCH), "border-renewed")
     replace_partitions(renewed, name)

@@ -79,3 +79,27 @@ def test_overlapping_times_are_the_exception(spark):
     parts = [[*ends(100), (1, 45.0, 30.0, T0 + 20 * HOUR)], [*ends(200), (2, 45.0, 30.0, T0 + 20 * HOUR)]]
     kept, back, _ = run(spark, parts, (0, 1))
     assert {1, 2} <= kept and not back
+
+
+def test_sides_that_grow_are_not_broadcast(spark, monkeypatch):
+    """The lists of hot keys are, and they are bounded; whatever else is sent to the driver grows."""
+    plans = []
+
+    def plan_of(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    def recorded(inner):
+        return lambda df, *rest, **metrics: plan_of(df) or inner(df, *rest, **metrics)
+
+    monkeypatch.setattr(P, "stored", recorded(P.stored))
+    monkeypatch.setattr(P, "observed", recorded(P.observed))
+    points = crowd(7)
+    schema = f"b{uuid.uuid4().hex[:12]}"
+    for k in (1, 0):
+        part = [p for p in points if (p[3] - T0 >= 30 * HOUR) == k]
+        for df in P.dedup_batch(spark, schema, f"p{k}", detections(spark, as_rows(part))):
+            plan_of(df)
+    assert sum("Join" in plan for plan in plans) >= 8
+    # the two sides of the distance join read the list of hot keys
+    assert max(plan.count("BroadcastHashJoin") for plan in plans) == 2
+    assert all("hot-keys" in plan for plan in plans if "Broadcast" in plan)

@@ -199,6 +199,14 @@ def test_plan_has_keys_and_no_python(spark):
             assert operator not in plan
 
 
+def test_only_the_hot_list_is_broadcast(spark):
+    """However small the other sides are; without hot keys the list is dropped from the plan."""
+    kept = proximity_dedup(detections(spark, as_rows(scattered(1, 200, (0, 0.1), (0, 0.1), 100_000))))
+    assert kept.collect()
+    plan = plan_of(kept).split("Initial Plan")[0]
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 3
+
+
 def test_scan_reads_only_four_columns_for_the_ids(spark, tmp_path):
     df = detections(spark, as_rows(scattered(1, 50, (0, 1), (0, 1), 100)))
     df.withColumn("note", F.lit("x")).write.parquet(str(tmp_path / "d"))

@@ -120,7 +120,7 @@ def silver_across_batches(spark, sf_dir):
         silver.append(kept)
         taken_back.append(back)
     whole = reduce(DataFrame.unionByName, silver).join(
-        reduce(DataFrame.unionByName, taken_back), "id", "left_anti")
+        reduce(DataFrame.unionByName, taken_back).hint("merge"), "id", "left_anti")
     return _silver_columns(whole)
 
 
