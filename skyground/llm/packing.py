@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,8 +31,9 @@ SEQUENCE, SEPARATOR = 4096, 1
 GROUP_TOKENS = 32 << 20
 #: Pieces of one group, since many may have a token each; a task places them in some seconds.
 GROUP_PIECES = 1 << 18
-#: Words whose ids a worker keeps, about 130 MB; it has them until it ends, whatever it does next.
-_KNOWN_WORDS = 600_000
+#: Words and marks whose ids a worker keeps, about 130 MB; it has them until it ends, whatever it
+#: does next. Longer ones are not kept.
+_KNOWN_WORDS, _KNOWN_CHARS = 600_000, 64
 
 # Texts of Latin letters, digits and ASCII marks only: lower case, blanks and the tokenizer's own cut
 # are the same in Python there. Any other character, and special tokens, send a text to it whole.
@@ -64,19 +66,49 @@ def _cuts_alike(tokenizer) -> bool:
         "<|" in t["content"] for t in spec["added_tokens"]) and not spec["model"].get("dropout")
 
 
-def _plain(text: str) -> bool:
+def _lowered(text: str) -> str | None:
+    """The text in lower case; none where the cut above may not be the tokenizer's."""
     if "<|" in text:
-        return False
+        return None
+    lowered = text.lower()
     if text.isascii():
-        return not text.encode().translate(None, _ASCII_PLAIN)
-    return not _OTHER.search(text)
+        return None if text.encode().translate(None, _ASCII_PLAIN) else lowered
+    # some letters in the range leave it in lower case
+    return None if _OTHER.search(text) or _OTHER.search(lowered) else lowered
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in a byte-level vocabulary: their own, if printable, and
+    those from 256 on for the others."""
+    own = {*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)}
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+class _Known(dict):
+    """Ids, as bytes, by what the cut leaves; the tokenizer's model gives those that are not here."""
+
+    def __init__(self, model):
+        self.tokenize, self.letters = model.tokenize, _byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(
+            self.letters)
+        found = [token.id for token in self.tokenize(letters)]
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(self) >= _KNOWN_WORDS:
+            self.clear()
+        if len(part) <= _KNOWN_CHARS:
+            self[part] = ids
+        return ids
 
 
 class Encoder:
     """Token ids of texts, the same as the tokenizer's.
 
-    Its cut never crosses a blank, so the ids of what stands between blanks are kept for the next
-    time; a full cache is emptied. A tokenizer that cuts otherwise gets every text whole.
+    It merges only within what its cut leaves, so the ids of these words and marks come from its
+    model, once each, and are kept for the next time; a full cache is emptied. A tokenizer that cuts
+    otherwise gets every text whole.
     """
 
     def __init__(self, path: str):
@@ -84,38 +116,19 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cuts_alike = _cuts_alike(self.tokenizer)
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, found: list[list[str]]) -> None:
-        """Makes all words of the texts known."""
-        every = set().union(*found)
-        new = [word for word in every if word not in self.known]
-        if len(self.known) + len(new) > _KNOWN_WORDS:
-            self.known.clear()
-            new = list(every)
-        if not new:
-            return
-        parts = [_CUT.findall(word) for word in new]
-        encoded = self.tokenizer.encode(
-            " ".join([part for own in parts for part in own]), add_special_tokens=False)
-        ids, at = np.array(encoded.ids, dtype="<u4").tobytes(), np.array(encoded.word_ids)
-        last = np.cumsum([len(own) for own in parts])
-        ends = (4 * np.searchsorted(at, last)).tolist()
-        self.known.update((word, ids[a:b]) for word, a, b in zip(new, [0, *ends], ends))
+        self.known = _Known(self.tokenizer.model)
+
+    def _ids(self, text: str) -> np.ndarray:
+        lowered = _lowered(text) if self.cuts_alike else None
+        if lowered is None:
+            return np.array(
+                self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.frombuffer(
+            b"".join(map(self.known.__getitem__, _CUT.findall(lowered))), dtype="<u4")
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Little-endian unsigned 32-bit ids of each text."""
-        plain = [self.cuts_alike and _plain(t) for t in texts]
-        found = [t.lower().split() if p else [] for t, p in zip(texts, plain)]
-        self._learn(found)
-        ids = self.known.__getitem__
-        return [
-            np.frombuffer(b"".join(map(ids, words)), dtype="<u4") if p
-            else np.array(self._whole(t), dtype="<u4")
-            for t, p, words in zip(texts, plain, found)]
+        return [self._ids(text) for text in texts]
 
 
 @lru_cache(maxsize=2)

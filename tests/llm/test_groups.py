@@ -206,6 +206,32 @@ def test_encoder_gives_the_tokenizers_ids(spark, smallest):
             assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_encoder_knows_letters_that_leave_the_range_in_lower_case():
+    whole, encode = Tokenizer.from_file(TOKENIZER), packing.Encoder(TOKENIZER)
+    texts = [t.format(chr(c)) for c in range(0xa0, 0x250) for t in ("a{0}b", "don'{0}", "1{0}{0}2.")]
+    for text, ids in zip(texts, encode(texts)):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_encoder_asks_for_a_word_once_whatever_marks_it_has():
+    whole, encode = Tokenizer.from_file(TOKENIZER), packing.Encoder(TOKENIZER)
+    encode(["tree Bäume , . ( ) ###"])
+
+    def no_more(*args, **more):
+        raise AssertionError("all words are known")
+
+    encode.tokenizer = encode.known.tokenize = no_more
+    text = "Tree, tree. (tree) bäume### (Bäume,"
+    assert encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_does_not_keep_long_words():
+    whole, encode = Tokenizer.from_file(TOKENIZER), packing.Encoder(TOKENIZER)
+    text = "short " + "long" * 500
+    assert encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert set(encode.known) == {"short"}
+
+
 def test_encoder_with_a_full_cache(spark, smallest, monkeypatch):
     monkeypatch.setattr(packing, "_KNOWN_WORDS", 50)
     texts = [r.text for r in H.documents(spark, smallest).limit(20).collect()]
