@@ -6,7 +6,7 @@ one row per word over the network. Instead
 1. every window is represented by its anchor, the sequence of ``ANCHOR`` words in it with the least
    hash. Equal windows have equal anchors, and neighbouring windows mostly share one, so a document
    has one anchor for about ten words. Each task counts the documents of its anchors in count-min
-   sketches; the sketches are merged block by block.
+   sketches, of which it sends the counters it touched; these are merged block by block.
 2. The merged sketch only overestimates. Windows whose anchor it counts once have no equal in
    another document; all others are grouped exactly, by 128-bit hashes of their words.
 
@@ -28,11 +28,14 @@ from ..plans.stages import stored
 from .text import pieces
 
 WINDOW, ANCHOR = 50, 32
-#: The sketch has ``_ROWS`` rows of a power of two counters (one byte: 0, 1 or 2), four for each
+#: The sketch has ``_ROWS`` rows of a power of two counters, four for each
 #: anchor that the input's size lets expect, but at most 2**26, so that the merged sketch, with
 #: one bit a counter left, is 24 MB to broadcast. A fuller sketch lets more windows through to the
 #: exact grouping; the result is the same.
 _ROWS, _LEAST_BITS, _MOST_BITS, _BLOCK = 3, 16, 26, 1 << 16
+#: Anchors a task holds before it sends their counters: neither a task nor a row it sends grows with
+#: the sketch, which no task has whole.
+_HELD_ANCHORS = 1 << 19
 #: Ids of copies that may be broadcast: 16 MB.
 _LISTED_IDS = 1 << 21
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -86,60 +89,74 @@ def _cells(values: np.ndarray, bits: int) -> list[np.ndarray]:
     return [cells.astype(np.int64) for cells in (low, high, other)]
 
 
+def _touched(values: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """``block, places``: the counters of the values, by the row's blocks, as 16-bit places in the
+    block; a counter of two values or more is there twice."""
+    width = min(_BLOCK, 1 << bits)
+    for r, cells in enumerate(_cells(values, bits)):
+        cells, counts = np.unique(cells, return_counts=True)
+        cells = np.repeat(cells, np.minimum(counts, 2))
+        blocks = cells // width
+        starts = np.flatnonzero(np.diff(blocks, prepend=-1))
+        places = (cells % width).astype("<u2")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(blocks[starts] + r * ((1 << bits) // width), pa.int64()),
+             pa.array([own.tobytes() for own in np.split(places, starts[1:])], pa.binary())],
+            names=["block", "places"])
+
+
 def _sketches(firsts: DataFrame, bits: int, window: int, size: int) -> DataFrame:
-    """``block, counters``: one row for each touched block of each task's sketch."""
+    """``block, places`` of :func:`_touched` for the anchors of all texts, some at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [np.zeros(1 << bits, dtype=np.uint8) for _ in range(_ROWS)]
-        for batch in (part for whole in batches for part in pieces(whole)):
+        held, count = [], 0
+        for batch in (part for whole in batches for part in pieces(whole, 4 << 20)):
             for text in batch.column("text").to_pylist():
                 words = _words(text)
                 if len(words) < window:
                     continue
                 # a document counts once for an anchor, however often it has it
-                own = np.unique(anchors(word_hashes(words), window, size))
-                for row, cells in zip(counts, _cells(own, bits)):
-                    # two values of one document may meet in a counter; both count
-                    cells.sort()
-                    again = cells[1:][cells[1:] == cells[:-1]]
-                    row[cells] = np.minimum(row[cells] + 1, 2)
-                    row[again] = 2
-        width = min(_BLOCK, 1 << bits)
-        for r, row in enumerate(counts):
-            blocks = row.reshape(-1, width)
-            touched = np.flatnonzero(blocks.any(axis=1))
-            for start in range(0, len(touched), 64):
-                own = touched[start:start + 64]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((own + r * len(blocks)).astype(np.int64)),
-                     pa.array([blocks[b].tobytes() for b in own], pa.binary())],
-                    names=["block", "counters"])
+                held.append(np.unique(anchors(word_hashes(words), window, size)))
+                count += len(held[-1])
+                if count >= _HELD_ANCHORS:
+                    yield from _touched(np.concatenate(held), bits)
+                    held, count = [], 0
+        if held:
+            yield from _touched(np.concatenate(held), bits)
 
-    return firsts.select("text").mapInArrow(run, "block bigint, counters binary")
+    return firsts.select("text").mapInArrow(run, "block bigint, places binary")
 
 
 def _merged(sketches: DataFrame, bits: int) -> list[np.ndarray]:
     """For each row of the sketch, whether each counter is 2 or more, as packed bits."""
+    width = min(_BLOCK, 1 << bits)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # all blocks together have the size of one sketch
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, counters in zip(
-                    batch.column("block").to_pylist(), batch.column("counters").to_pylist()):
-                own = np.frombuffer(counters, dtype=np.uint8)
-                totals[block] = np.minimum(totals[block] + own, 2) if block in totals else own
-        for block, total in totals.items():
-            yield pa.RecordBatch.from_arrays(
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()),
                  pa.array([np.packbits(total >= 2).tobytes()], pa.binary())],
                 names=["block", "often"])
 
-    width = min(_BLOCK, 1 << bits)
+        # rows come by block, so one block is held at a time
+        block, total = -1, np.zeros(width, dtype=np.int64)
+        for batch in batches:
+            blocks, places = batch.column("block").to_numpy(), batch.column("places")
+            starts = np.flatnonzero(np.diff(blocks, prepend=-1)).tolist()
+            for start, end in zip(starts, [*starts[1:], len(blocks)]):
+                if blocks[start] != block:
+                    if block >= 0:
+                        yield packed()
+                    block, total = int(blocks[start]), np.zeros(width, dtype=np.int64)
+                own = np.frombuffer(b"".join(places[start:end].to_pylist()), dtype="<u2")
+                total += np.bincount(own, minlength=width)
+        if block >= 0:
+            yield packed()
+
     often = [np.zeros((1 << bits) // 8, dtype=np.uint8) for _ in range(_ROWS)]
     blocks = (1 << bits) // width
     # the size of the sketch bounds what comes here: at most 24 MB
-    for block, packed in sketches.repartition("block").mapInArrow(
+    for block, packed in sketches.repartition("block").sortWithinPartitions("block").mapInArrow(
             merge, "block bigint, often binary").collect():
         row, at = divmod(block, blocks)
         often[row][at * width // 8:(at + 1) * width // 8] = np.frombuffer(packed, dtype=np.uint8)
@@ -205,11 +222,15 @@ def _summaries(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, sha256`` (of the words joined by one blank) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in pieces(whole)):
-            found = [_words(text) for text in batch.column("text").to_pylist()]
+        for batch in (part for whole in batches for part in pieces(whole, 4 << 20)):
+            counts, shas = [], []
+            for text in batch.column("text").to_pylist():
+                words = _words(text)
+                counts.append(len(words))
+                shas.append(_sha256(words))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(map(len, found), pa.int64()),
-                 pa.array(map(_sha256, found), pa.string())], names=["doc_id", "n_words", "sha256"])
+                [batch.column("doc_id"), pa.array(counts, pa.int64()),
+                 pa.array(shas, pa.string())], names=["doc_id", "n_words", "sha256"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(

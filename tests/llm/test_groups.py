@@ -170,6 +170,31 @@ def test_removals_full_sketch(spark, smallest, monkeypatch):
     check_removals(spark, rows, substrings.WINDOW, substrings.ANCHOR)
 
 
+def test_sketch_rows_follow_the_anchors(spark, monkeypatch):
+    """A task sends what its few anchors touch, however large the sketch, and merging it gives the
+    counters that two texts or more have."""
+    monkeypatch.setattr(substrings, "_HELD_ANCHORS", 40, raising=False)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefgh", k=60)) for _ in range(12)]
+    texts += [texts[3] + " x", "y " + texts[7], "too short", None]
+    table = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    bits, window, size = 20, 20, 8
+    sent = substrings._sketches(table, bits, window, size)
+    assert sum(len(row[1]) for row in sent.collect()) < 1 << 16
+
+    count = np.zeros((substrings._ROWS, 1 << bits), dtype=int)
+    for text in texts:
+        words = substrings._words(text)
+        if len(words) >= window:
+            own = np.unique(substrings.anchors(substrings.word_hashes(words), window, size))
+            for row, cells in zip(count, substrings._cells(own, bits)):
+                np.add.at(row, cells, 1)
+    merged = substrings._merged(sent, bits)
+    assert (count >= 2).any()
+    for row, bits_of_row in zip(count, merged):
+        assert (np.unpackbits(bits_of_row) == (row >= 2)).all()
+
+
 def test_removals_awkward(spark):
     rows = substrings.removals(H.awkward(spark), 10, 4).collect()
     assert len(rows) == H.awkward(spark).count()
